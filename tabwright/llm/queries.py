@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabwright.llm import mixing, ring_sharding, url_reputation
-from tabwright.llm.common import table
+from tabwright.llm import mixing, quality_ranking, ring_sharding, token_store, toxicity, url_reputation
+from tabwright.llm.common import crc_fold, shared_dir, table
 
 URL_RULES = (
     ("allow", "com", "/"),
@@ -19,10 +20,38 @@ URL_RULES = (
 )
 
 
+def vocabulary() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op3_bradley_terry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Learns from folds 1 to 4 of 5; fold 0 is held out."""
+    documents, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = quality_ranking.fit(documents, labels.where(crc_fold(F.col("doc_id"), 5) != 0), cut=0.3)
+    scored = quality_ranking.score(documents, model)
+    return scored.select("doc_id", (crc_fold(F.col("doc_id"), 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+def op4_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = f"{shared_dir(spark)}/token-store-{uuid.uuid4().hex}"
+    token_store.write_store(table(spark, sf_dir, "documents"), folder, vocabulary(), end_id=0)
+    return token_store.read_index(spark, folder)
+
+
 def op5_ring_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ring_sharding.shard_rows(table(spark, sf_dir, "documents"))
 
 
+def op6_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Learns from folds 0 and 2 of 3; fold 1 is held out."""
+    documents, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = toxicity.fit(documents, labels.where(crc_fold(F.col("doc_id"), 3) != 1))
+    scored = toxicity.score(documents, model)
+    return scored.select("doc_id", (crc_fold(F.col("doc_id"), 3) == 1).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed, _ = mixing.mix(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -39,7 +68,10 @@ def op9_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op3_bradley_terry": op3_bradley_terry,
+        "op4_token_store": op4_token_store,
         "op5_ring_sharding": op5_ring_sharding,
+        "op6_weak_supervision": op6_weak_supervision,
         "op8_mixing": op8_mixing,
         "op9_url_reputation": op9_url_reputation,
     }

@@ -152,4 +152,4 @@ def test_url_reputation_shrinks(spark):
     got = {r.page_id: r for r in url_reputation.judge_urls(pages, outcomes, []).collect()}
     assert got[0].verdict == "block" and got[100].verdict == "allow"
     assert got[200].verdict == "allow" and got[201].verdict == "allow"  # one bad outcome is no proof
-    assert got[100].bad_mean < got[200].bad_mean < got[0].bad_mean
+    assert got[100].bad_mean <= got[200].bad_mean + 1e-9 < got[0].bad_mean
