@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabwright.llm import mixing, quality_ranking, ring_sharding, token_store, toxicity, url_reputation
+from tabwright.llm import embedding_dedup, mixing, quality_ranking, ring_sharding, token_store, toxicity, url_reputation
 from tabwright.llm.common import crc_fold, shared_dir, table
 
 URL_RULES = (
@@ -66,6 +66,10 @@ def op9_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_reputation.judge_urls(pages, outcomes, URL_RULES)
 
 
+def op10_cross_polytope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op3_bradley_terry": op3_bradley_terry,
@@ -74,6 +78,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_weak_supervision": op6_weak_supervision,
         "op8_mixing": op8_mixing,
         "op9_url_reputation": op9_url_reputation,
+        "op10_cross_polytope": op10_cross_polytope,
     }
 
 
