@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabwright.llm import embedding_dedup, mixing, quality_ranking, ring_sharding, token_store, toxicity, url_reputation
+from tabwright.llm import decontamination, embedding_dedup, minhash_dedup, mixing, quality_ranking, ring_sharding, token_store, toxicity, url_reputation
 from tabwright.llm.common import crc_fold, shared_dir, table
 
 URL_RULES = (
@@ -26,6 +26,14 @@ def vocabulary() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op2_prob_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op3_bradley_terry(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Learns from folds 1 to 4 of 5; fold 0 is held out."""
     documents, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
@@ -72,6 +80,8 @@ def op10_cross_polytope(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_template_decontamination": op1_template_decontamination,
+        "op2_prob_minhash": op2_prob_minhash,
         "op3_bradley_terry": op3_bradley_terry,
         "op4_token_store": op4_token_store,
         "op5_ring_sharding": op5_ring_sharding,
