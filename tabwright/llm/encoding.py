@@ -1,63 +1,113 @@
-"""Token ids by a vocabulary of the tokenizers library, with a bounded cache of pieces."""
+"""Token ids by a vocabulary of the tokenizers library, with bounded caches of the parts of texts."""
 
 from __future__ import annotations
 
 import json
 import os
 import re
+import struct
 
 import numpy as np
 
-#: Python's white space that the vocabulary's own pattern doesn't take for white space.
+#: White space in Python's eyes or in the vocabulary's pattern, but not in both.
 ODD_SPACE = re.compile("[\x1c-\x1f\x85᠎]")
 PIECE = re.compile(r"\s+\S+|\S+|\s+")
+#: A run of letters, then a run of marks that can't begin a contraction: two units of the vocabulary's pattern.
+PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ɏ]+)([!-&(-/:-@\[-`{-~]*)")
+
+
+def _byte_letters() -> dict[int, str]:
+    """The letters that byte-level vocabularies write bytes with: printable ones as they are, the others from 256 on."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
+
+
+class Words(dict):
+    """word -> id bytes of ``lead`` and the word, worked out by the library's model on the first sight of each run of letters."""
+
+    def __init__(self, encoder: Encoder, lead: str):
+        self.encoder, self.lead = encoder, lead
+
+    def __missing__(self, word: str) -> bytes:
+        if word.isalpha():  # letters in every script, as the pattern has them
+            raw = self[word] = self.encoder.unit(self.lead, word)
+            return raw
+        plain = PLAIN.fullmatch(word)
+        if plain is None:
+            first, *more = word.split("\n")
+            if more and first and all(more) and not any(c.isspace() for p in (first, *more) for c in p):
+                bare = self.encoder.bare
+                return self[first] + b"".join([self.encoder.newline + bare[p] for p in more])
+            raw = self.encoder.whole([self.lead + word])[0]
+        else:
+            raw = self[plain[1]] + self.encoder.marks[plain[2]]
+        self[word] = raw
+        return raw
+
+
+class Marks(Words):
+    def __missing__(self, word: str) -> bytes:
+        raw = self[word] = self.encoder.whole([word])[0]
+        return raw
 
 
 class Encoder:
-    """Whole-text ids as little-endian bytes of ``width`` bytes an id.
+    """Whole-text ids as little-endian bytes of ``width`` bytes an id, equal to the library's own.
 
-    A byte-level BPE whose pattern never lets a piece run from a non-space into white space gives the same ids
-    for a text as for its parts cut before white space, so each distinct part is encoded once by the library and
-    kept in a cache of at most ``bound`` parts. Texts that hold special tokens or odd white space, and
+    A byte-level BPE whose pattern never lets a unit run from a non-space into white space, nor from a letter
+    into a mark, gives the same ids for a text as for its parts, so each part is encoded once by the library
+    and kept in caches of at most ``bound`` parts. Texts that hold special tokens or odd white space, and
     vocabularies of another kind, are encoded whole.
     """
 
-    def __init__(self, spec: str, bound: int = 300_000):
+    def __init__(self, spec: str, bound: int = 600_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_str(spec)
+        self.tokenize = self.library.model.tokenize
         plan = json.loads(spec)
-        before = plan.get("pre_tokenizer") or {}
-        self.by_piece = plan.get("normalizer") is None and before.get("type") == "ByteLevel" and not before.get("add_prefix_space") and before.get("use_regex", True)
+        before, model = plan.get("pre_tokenizer") or {}, plan["model"]
+        odd = any(model.get(k) for k in ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "ignore_merges"))
+        self.by_part = model["type"] == "BPE" and not odd and plan.get("normalizer") is None and before.get("type") == "ByteLevel" and not before.get("add_prefix_space") and before.get("use_regex", True)
         self.special = [t["content"] for t in plan.get("added_tokens", [])]
         self.dtype = np.dtype("<u2" if self.library.get_vocab_size() <= 1 << 16 else "<u4")
+        self.letters = _byte_letters()
+        self.space = self.letters[32]
+        self.packers = [struct.Struct(f"<{n}{'H' if self.dtype.itemsize == 2 else 'I'}").pack for n in range(16)]
         self.bound = bound
-        self.cache: dict[str, bytes] = {}
+        self.spaced, self.bare, self.marks = Words(self, " "), Words(self, ""), Marks(self, "")
+        if self.by_part:
+            self.newline = self.whole(["\n"])[0]
 
-    def _raw(self, texts: list[str]) -> list[bytes]:
+    def whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, dtype=self.dtype).tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _pieces(self, text: str) -> list[str] | None:
-        if not self.by_piece or any(s in text for s in self.special) or not text.isascii() and ODD_SPACE.search(text) or text.isascii() and not text.isprintable() and ODD_SPACE.search(text):
-            return None
+    def unit(self, lead: str, word: str) -> bytes:
+        """One unit of the pattern, straight through the library's model."""
+        coded = word if word.isascii() else word.encode().decode("latin-1").translate(self.letters)
+        ids = [t.id for t in self.tokenize(self.space + coded if lead else coded)]
+        return self.packers[len(ids)](*ids) if len(ids) < len(self.packers) else np.array(ids, self.dtype).tobytes()
+
+    def _by_part(self, text: str) -> bytes:
         if "  " in text:
-            return PIECE.findall(text)
+            return b"".join([self.spaced[p[1:]] if p[0] == " " and not p[1:2].isspace() and len(p) > 1 else self.marks[p] if p[0].isspace() else self.bare[p] for p in PIECE.findall(text)])
         first, *rest = text.split(" ")
-        return [first, *[" " + x for x in rest]]
+        head = self.bare[first] if first else b""
+        return head + b"".join(map(self.spaced.__getitem__, rest))
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        split = [self._pieces(t) for t in texts]
-        missing = set().union(*[p for p in split if p is not None]).difference(self.cache)
-        if len(self.cache) + len(missing) > self.bound:
-            missing |= self.cache.keys() & set().union(*[p for p in split if p is not None])
-            self.cache.clear()
-        fresh = list(missing)
-        for at in range(0, len(fresh), 20_000):
-            part = fresh[at : at + 20_000]
-            self.cache.update(zip(part, self._raw(part), strict=True))
-        get = self.cache.__getitem__
-        return [self._raw([t])[0] if p is None else b"".join(map(get, p)) for t, p in zip(texts, split, strict=True)]
+        if len(self.spaced) + len(self.bare) + len(self.marks) > self.bound:
+            for cache in (self.spaced, self.bare, self.marks):
+                cache.clear()
+        out = []
+        for text in texts:
+            if self.by_part and not ODD_SPACE.search(text) and not any(s in text for s in self.special):
+                out.append(self._by_part(text))
+            else:
+                out += self.whole([text])
+        return out
 
 
 def text_groups(texts: list[str], most: int = 2_000_000):
