@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabwright.llm import decontamination, embedding_dedup, minhash_dedup, mixing, quality_ranking, ring_sharding, token_store, toxicity, url_reputation
+from tabwright.llm import decontamination, embedding_dedup, minhash_dedup, mixing, quality_ranking, ring_sharding, suffix_dedup, token_store, toxicity, url_reputation
 from tabwright.llm.common import crc_fold, shared_dir, table
 
 URL_RULES = (
@@ -60,6 +60,12 @@ def op6_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (crc_fold(F.col("doc_id"), 3) == 1).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+def op7_prefix_doubling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), length=100)
+    removed = F.aggregate("removed", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return found.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed, _ = mixing.mix(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -86,6 +92,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_token_store": op4_token_store,
         "op5_ring_sharding": op5_ring_sharding,
         "op6_weak_supervision": op6_weak_supervision,
+        "op7_prefix_doubling": op7_prefix_doubling,
         "op8_mixing": op8_mixing,
         "op9_url_reputation": op9_url_reputation,
         "op10_cross_polytope": op10_cross_polytope,
