@@ -10,7 +10,7 @@ import struct
 import numpy as np
 
 #: White space in Python's eyes or in the vocabulary's pattern, but not in both.
-ODD_SPACE = re.compile("[\x1c-\x1f\x85᠎]")
+ODD_SPACE = "\x1c\x1d\x1e\x1f\x85\u180e"
 PIECE = re.compile(r"\s+\S+|\S+|\s+")
 #: A run of letters, then a run of marks that can't begin a contraction: two units of the vocabulary's pattern.
 PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ɏ]+)([!-&(-/:-@\[-`{-~]*)")
@@ -35,10 +35,10 @@ class Words(dict):
             return raw
         plain = PLAIN.fullmatch(word)
         if plain is None:
-            first, *more = word.split("\n")
-            if more and first and all(more) and not any(c.isspace() for p in (first, *more) for c in p):
+            parts = word.split("\n")
+            if len(parts) > 1 and all(parts) and len(word.split()) == len(parts):  # single line ends inside, and no other space
                 bare = self.encoder.bare
-                return self[first] + b"".join([self.encoder.newline + bare[p] for p in more])
+                return self[parts[0]] + b"".join([self.encoder.newline + bare[p] for p in parts[1:]])
             raw = self.encoder.whole([self.lead + word])[0]
         else:
             raw = self[plain[1]] + self.encoder.marks[plain[2]]
@@ -71,7 +71,7 @@ class Encoder:
         before, model = plan.get("pre_tokenizer") or {}, plan["model"]
         odd = any(model.get(k) for k in ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "ignore_merges"))
         self.by_part = model["type"] == "BPE" and not odd and plan.get("normalizer") is None and before.get("type") == "ByteLevel" and not before.get("add_prefix_space") and before.get("use_regex", True)
-        self.special = [t["content"] for t in plan.get("added_tokens", [])]
+        self.whole_if = [*ODD_SPACE, *(t["content"] for t in plan.get("added_tokens", []))]
         self.dtype = np.dtype("<u2" if self.library.get_vocab_size() <= 1 << 16 else "<u4")
         self.letters = _byte_letters()
         self.space = self.letters[32]
@@ -103,7 +103,7 @@ class Encoder:
                 cache.clear()
         out = []
         for text in texts:
-            if self.by_part and not ODD_SPACE.search(text) and not any(s in text for s in self.special):
+            if self.by_part and not any(s in text for s in self.whole_if):
                 out.append(self._by_part(text))
             else:
                 out += self.whole([text])

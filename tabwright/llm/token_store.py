@@ -30,6 +30,7 @@ from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import LongType
 from pyspark.sql.window import Window
 
+from tabwright.llm.common import cut
 from tabwright.llm.encoding import Encoder, text_groups
 
 WINDOW, MIN, AVERAGE, MAX = 8, 64, 512, 4096
@@ -153,8 +154,10 @@ def write_store(documents: DataFrame, folder: str, vocabulary: str, end_id: int
     with open(vocabulary, encoding="utf-8") as file:
         spec = spark.sparkContext.broadcast(file.read())  # one vocabulary file, of 1.6 MB
     made = documents.select(F.col("doc_id").cast("long"), "text").mapInArrow(_objects(spec, end_id), OBJECTS)
-    # Chunks meet by address and stay once; recipes have keys of their own.
-    made.dropDuplicates(["kind", "key"]).write.partitionBy("kind").option("compression", "zstd").parquet(f"{folder}/objects")
+    # Chunks meet by address and the first stays; recipes have keys of their own. Tasks have left out what they have
+    # sent before, so a second pass over their rows ahead of the shuffle, as dropDuplicates makes, would find little.
+    first = F.lag("key").over(Window.partitionBy("kind", "key").orderBy("key")).isNull()
+    made.withColumn("first", first).where("first").drop("first").write.partitionBy("kind").option("compression", "zstd").parquet(f"{folder}/objects")
     recipes = spark.read.schema(OBJECTS).parquet(f"{folder}/objects").where("kind = 1")
     n_tokens = F.aggregate("lengths", F.lit(0).cast("long"), lambda s, n: s + n)
     order = ["doc_id", "n_tokens", "root", "key"]
@@ -180,6 +183,7 @@ def manifest(spark: SparkSession, folder: str, fan: int = 256) -> DataFrame:
         kids = F.array_sort(F.collect_list(F.struct("node", "root")))
         level = level.groupBy("part", F.expr(f"node div {fan}").alias("node_up")).agg(F.sha2(F.array_join(F.transform(kids, lambda x: x["root"]), ""), 256).alias("root"))
         level = level.withColumnRenamed("node_up", "node")
+        level = cut(level)
         levels.append(level.select("part", F.lit(depth).alias("level"), "node", "root"))
     out = levels[0]
     for more in levels[1:]:
