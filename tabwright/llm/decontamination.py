@@ -20,6 +20,7 @@ rows of their own. Empty tables give empty results. Only the columns named are r
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,8 +40,8 @@ _QUANTITY = re.compile(r"[+\-−]?\d[\d.,]*([a-z°]+)$")
 LITERAL, NUMBER, QUANTITY, UNIT, CAPITAL = range(5)
 ENDS = 8  # added to a fact: the token ends a sentence
 _SLOTS = {NUMBER: "<number>", QUANTITY: "<quantity>", UNIT: "<unit>", CAPITAL: "<name>"}
-_RESULT = "doc_id long, item_id long, kind string, n_windows int, coverage double, run_words int, start_word int, end_word int"
-_FIELDS = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("kind", pa.string()), ("n_windows", pa.int32()), ("coverage", pa.float64()), ("run_words", pa.int32()), ("start_word", pa.int32()), ("end_word", pa.int32())])
+_RESULT = "doc_id long, text_crc long, item_id long, kind string, n_windows int, coverage double, run_words int, start_word int, end_word int"
+_FIELDS = pa.schema([("doc_id", pa.int64()), ("text_crc", pa.int64()), ("item_id", pa.int64()), ("kind", pa.string()), ("n_windows", pa.int32()), ("coverage", pa.float64()), ("run_words", pa.int32()), ("start_word", pa.int32()), ("end_word", pa.int32())])
 
 
 def describe(token: str) -> tuple[str, int]:
@@ -189,13 +190,16 @@ def _leaks(index: Index, coverage: float, run_words: int):
                 if (d, item) not in best or (found[0], -found[3]) > (best[d, item][0], -best[d, item][3]):
                     best[d, item] = found
             for (d, item), (n, cover, run, start, end, kind) in best.items():
-                yield doc_ids[d], index.ids[item], kind, n, cover, run, start, end
+                yield doc_ids[d], zlib.crc32(texts[d].encode()), index.ids[item], kind, n, cover, run, start, end
 
     return group_leaks
 
 
 def find_leaks(documents: DataFrame, benchmark: DataFrame, coverage: float = 0.8, run_words: int = 13, slice_windows: int = 2_000_000) -> DataFrame:
-    """documents(doc_id, text), benchmark(item_id, text) -> a row for each document and item that it leaks."""
+    """documents(doc_id, text), benchmark(item_id, text) -> a row for each document and item that it leaks.
+
+    ``text_crc`` (crc32 of the text) tells rows apart that share an id.
+    """
     from tabwright.llm.encoding import text_groups
 
     spark = documents.sparkSession

@@ -17,14 +17,15 @@ A comparison computes the exact probability Jaccard similarity of whole texts; a
 Components of the links are the near-duplicate classes.
 
 Defined results: texts of fewer than ``SHINGLE`` words have one shingle, all their words; texts without words
-(null, empty, white space) are alike; rows alike are one class; null ids are in classes but aren't kept, and
-a class is named by its least id that isn't null. Empty tables give empty results. Only the columns named
+(null, empty, white space) are alike; rows alike are one class; a class is named by its least id that isn't
+null, and only a class without any other id keeps a null one. Empty tables give empty results. Only the columns named
 are read.
 """
 
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -102,7 +103,7 @@ def probability_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, n
     return float((1 / (above[at] / py + below[at] / px)).sum())
 
 
-_SKETCH = "doc_id long, digest binary, bands array<long>, registers binary"
+_SKETCH = "doc_id long, text_crc long, digest binary, bands array<long>, registers binary"
 
 
 def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -113,12 +114,13 @@ def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids = batch.column(0).to_pylist()
         texts = [t or "" for t in batch.column(1).to_pylist()]
         for low, high in text_groups(texts, 4_000_000):
-            parts, digests, fresh = [], [], []
+            parts, digests, fresh, crcs = [], [], [], []
             seen: set[bytes] = set()
             for text in texts[low:high]:
                 words = table.read(text.split())[0]
                 digest = hashlib.blake2b(words.tobytes(), digest_size=16).digest()
                 digests.append(digest)
+                crcs.append(zlib.crc32(text.encode()))
                 fresh.append(digest not in seen)
                 if fresh[-1]:
                     seen.add(digest)
@@ -140,7 +142,7 @@ def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 k = next(made) if new else None
                 out_bands.append(bands[k].astype(np.int64).tolist() if new else None)
                 out_registers.append(short[k].tobytes() if new else None)
-            yield pa.RecordBatch.from_arrays([pa.array(ids[low:high], pa.int64()), pa.array(digests, pa.binary()), pa.array(out_bands, pa.list_(pa.int64())), pa.array(out_registers, pa.binary())], names=["doc_id", "digest", "bands", "registers"])
+            yield pa.RecordBatch.from_arrays([pa.array(ids[low:high], pa.int64()), pa.array(crcs, pa.int64()), pa.array(digests, pa.binary()), pa.array(out_bands, pa.list_(pa.int64())), pa.array(out_registers, pa.binary())], names=["doc_id", "text_crc", "digest", "bands", "registers"])
 
 
 def _shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -204,10 +206,15 @@ def _partners(floor: float, most: int):
 
 
 def near_duplicates(documents: DataFrame, threshold: float = 0.8, rounds: int = 3, block: int = 256, broadcast_ids: int = 500_000) -> DataFrame:
-    """documents(doc_id, text) -> doc_id, class_id, kept (the class's least id), exact_copies (rows of the same words)."""
+    """documents(doc_id, text) -> doc_id, text_crc (crc32 of the text), class_id, kept, exact_copies (rows of the same words).
+
+    kept: the one of the class with the least id, null ids last, and of equal ids the least crc32. Rows alike in both
+    are told apart by whoever takes one of them.
+    """
     docs = documents.select(F.col("doc_id").cast("long"), "text")
     sketched = cut(docs.mapInArrow(_sketches, _SKETCH))
-    classes = sketched.groupBy("digest").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("copies"))
+    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_crc")
+    classes = sketched.groupBy("digest").agg(F.min("doc_id").alias("least"), F.min(place).alias("place"), F.count(F.lit(1)).alias("copies"))
     sketches = sketched.where("bands is not null").dropDuplicates(["digest"]).select("digest", "bands", "registers")
     classes = cut(classes.join(sketches, "digest"))
     in_bucket = classes.select("digest", "least", F.explode("bands").alias("bucket"))
@@ -249,7 +256,8 @@ def near_duplicates(documents: DataFrame, threshold: float = 0.8, rounds: int =
         if not more.where(F.col("similarity") >= threshold).limit(1).count():
             break
         joined = components(tested.where(F.col("similarity") >= threshold).select("a", "b"))
-    named = classes.select("digest", "least", "copies").join(joined.withColumnRenamed("node", "digest"), "digest", "left").withColumn("component", F.coalesce("component", "digest"))
-    named = named.join(named.groupBy("component").agg(F.min("least").alias("class_id")), "component").select("digest", "class_id", "copies")
-    out = sketched.select("doc_id", "digest").join(named, "digest")
-    return out.select("doc_id", "class_id", F.coalesce(F.col("doc_id") == F.col("class_id"), F.lit(False)).alias("kept"), F.col("copies").alias("exact_copies"))
+    named = classes.select("digest", "place", "copies").join(joined.withColumnRenamed("node", "digest"), "digest", "left").withColumn("component", F.coalesce("component", "digest"))
+    named = named.join(named.groupBy("component").agg(F.min("place").alias("first")), "component").select("digest", "first", "copies")
+    out = sketched.select("doc_id", "text_crc", "digest").join(named, "digest")
+    kept = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("text_crc") == F.col("first.text_crc"))
+    return out.select("doc_id", "text_crc", F.col("first.doc_id").alias("class_id"), kept.alias("kept"), F.col("copies").alias("exact_copies"))

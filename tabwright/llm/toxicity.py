@@ -30,6 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 VOTERS = 6
 DENSE = 0.006
@@ -203,13 +204,14 @@ def fit(documents: DataFrame, labels: DataFrame, max_labelled: int = 20_000, max
     return model
 
 
-def score(documents: DataFrame, model: Model) -> DataFrame:
-    """documents(doc_id, text) -> doc_id, score."""
+def score(documents: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """documents(doc_id, text, ..) -> the columns ``keep`` and score. Other columns of the table aren't read."""
+    chosen = documents.select(*keep, F.col("text").alias("__text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [t or "" for t in batch.column(1).to_pylist()]
+            texts = [t or "" for t in batch.column(len(keep)).to_pylist()]
             scores = [model.score(h) for h in term_hits(texts, model.terms)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.float64())], names=["doc_id", "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], pa.array(scores, pa.float64())], names=[*keep, "score"])
 
-    return documents.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, score double")
+    return chosen.mapInArrow(run, StructType([*chosen.schema.fields[: len(keep)], StructField("score", DoubleType())]))
