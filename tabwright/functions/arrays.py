@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -38,11 +39,11 @@ def with_member(members: Column, value: Column) -> Column:
 
 def merge_maps(*maps: Column) -> Column:
     """Later maps win, whatever the session says of duplicate keys."""
-    out = maps[0]
-    for more in maps[1:]:
-        own = F.map_filter(out, lambda k, _, more=more: ~F.map_contains_key(more, k))
-        out = F.map_concat(own, more)
-    return out
+
+    def both(first: Column, second: Column) -> Column:
+        return F.map_concat(F.map_filter(first, lambda k, _: ~F.map_contains_key(second, k)), second)
+
+    return reduce(both, maps)
 
 
 def stack_level(stack: Column, level: str) -> Column:

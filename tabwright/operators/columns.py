@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -62,13 +63,15 @@ def widen(cells: Column, narrow: int, at: int, header: Column, name: str) -> Col
 
 def unspill(cells: Column, columns: Sequence[int]) -> Column:
     """Left to right: an empty cell takes the last line of the cell before it, if that has several lines."""
-    for at in columns:
+
+    def moved(cells: Column, at: int) -> Column:
         before = F.coalesce(F.try_element_at(cells, F.lit(at)), F.lit(""))
         lines = F.split(before, "\n")
         moves = (F.coalesce(F.try_element_at(cells, F.lit(at + 1)), F.lit("")) == "") & (F.size(lines) > 1)
         kept = F.array_join(F.slice(lines, F.lit(1), F.greatest(F.size(lines) - 1, F.lit(1))), "\n")
-        cells = F.when(moves, F.transform(cells, lambda c, i, at=at, kept=kept, lines=lines: F.when(i == at - 1, kept).when(i == at, F.element_at(lines, -1)).otherwise(c))).otherwise(cells)
-    return cells
+        return F.when(moves, F.transform(cells, lambda c, i: F.when(i == at - 1, kept).when(i == at, F.element_at(lines, -1)).otherwise(c))).otherwise(cells)
+
+    return reduce(moved, columns, cells)
 
 
 def override_from_path(rows: DataFrame, column: str, value: Column, flag: Column) -> DataFrame:

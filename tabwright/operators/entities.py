@@ -111,6 +111,10 @@ def in_country(number: int = HOME_COUNTRY) -> Column:
 
 def edges(entities: DataFrame, props: Sequence[str] = (INSTANCE_OF, SUBCLASS_OF, LOCATED_IN, CONTAINS, COEXTENSIVE, OVERLAPS)) -> DataFrame:
     """src, prop, dst, rank, current: a row for each claim that names an item."""
-    parts = [F.transform(claims(p), lambda c, p=p: F.struct(F.lit(p).alias("prop"), _number(c).alias("dst"), c["rank"].alias("rank"), is_current(c).alias("current"))) for p in props]
+
+    def of(prop: str) -> Column:
+        return F.transform(claims(prop), lambda c: F.struct(F.lit(prop).alias("prop"), _number(c).alias("dst"), c["rank"].alias("rank"), is_current(c).alias("current")))
+
+    parts = [of(p) for p in props]
     rows = entities.select(F.expr("try_cast(substr(id, 2) as bigint)").alias("src"), F.explode(F.concat(*parts)).alias("e"))
     return rows.select("src", "e.*").where("dst is not null")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -48,10 +49,7 @@ def header_row(cells: Column, prefixes: Sequence[str], page: Column | None = Non
 
 def holds(cells: Column, parts: Sequence[str]) -> Column:
     """Some cell contains one of the parts: links, footnotes."""
-    found = F.lit(False)
-    for part in parts:
-        found = found | F.exists(cells, lambda c, part=part: c.contains(part))
-    return found
+    return F.exists(cells, lambda c: reduce(Column.__or__, [c.contains(p) for p in parts], F.lit(False)))
 
 
 def without_listed(rows: DataFrame, deny: DataFrame, on: Sequence[str]) -> DataFrame:

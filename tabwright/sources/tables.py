@@ -73,7 +73,7 @@ def read_cells(spark: SparkSession, path: str | Sequence[str], sep: str = ",", w
 
     Each file is read whole, as its rows need their order; these files are pages of documents, small ones.
     """
-    pages = spark.read.option("wholetext", True).text(path).select(F.input_file_name().alias("file"), "value")
+    pages = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("file"), "value")
     # A line end inside quotes isn't a row's end: an even number of quotes follows a real one.
     lines = F.split(F.regexp_replace("value", "(\r?\n)+$", ""), '\r?\n(?=(?:[^"]*"[^"]*")*[^"]*$)')
     rows = pages.select("file", F.posexplode(lines).alias("pos", "line")).where("line != ''")
