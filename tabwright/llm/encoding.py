@@ -6,6 +6,7 @@ import json
 import os
 import re
 import struct
+from functools import lru_cache
 
 import numpy as np
 
@@ -30,7 +31,7 @@ class Words(dict):
         self.encoder, self.lead = encoder, lead
 
     def __missing__(self, word: str) -> bytes:
-        if word.isalpha():  # letters in every script, as the pattern has them
+        if word.isalpha():  # letters of every script, as the pattern has them
             raw = self[word] = self.encoder.unit(self.lead, word)
             return raw
         plain = PLAIN.fullmatch(word)
@@ -61,7 +62,7 @@ class Encoder:
     vocabularies of another kind, are encoded whole.
     """
 
-    def __init__(self, spec: str, bound: int = 600_000):
+    def __init__(self, spec: str, bound: int = 900_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -110,6 +111,12 @@ class Encoder:
         return out
 
 
+@lru_cache(maxsize=2)
+def shared_encoder(spec: str) -> Encoder:
+    """One encoder for all tasks of a Python worker, so that a task needn't learn again what the last one knew."""
+    return Encoder(spec)
+
+
 def text_groups(texts: list[str], most: int = 2_000_000):
     """Slices of a batch of about ``most`` characters, so that what is kept at a time is bounded."""
     start, size = 0, 0

@@ -31,7 +31,7 @@ from pyspark.sql.types import LongType
 from pyspark.sql.window import Window
 
 from tabwright.llm.common import cut
-from tabwright.llm.encoding import Encoder, text_groups
+from tabwright.llm.encoding import shared_encoder, text_groups
 
 WINDOW, MIN, AVERAGE, MAX = 8, 64, 512, 4096
 #: Addresses that a task remembers, so that a chunk which many of its documents hold leaves the task once.
@@ -101,7 +101,7 @@ def _objects(spec, end_id: int):
     """mapInArrow: documents to chunk and recipe rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(spec.value)
+        encoder = shared_encoder(spec.value)
         width = encoder.dtype.itemsize
         end = np.array([end_id], encoder.dtype).tobytes()
         task = TaskContext.get().partitionId()
@@ -157,7 +157,7 @@ def write_store(documents: DataFrame, folder: str, vocabulary: str, end_id: int
     # Chunks meet by address and the first stays; recipes have keys of their own. Tasks have left out what they have
     # sent before, so a second pass over their rows ahead of the shuffle, as dropDuplicates makes, would find little.
     first = F.lag("key").over(Window.partitionBy("kind", "key").orderBy("key")).isNull()
-    made.withColumn("first", first).where("first").drop("first").write.partitionBy("kind").option("compression", "zstd").parquet(f"{folder}/objects")
+    made.withColumn("first", first).where("first").drop("first").write.partitionBy("kind").option("compression", "zstd").option("parquet.compression.codec.zstd.level", "1").parquet(f"{folder}/objects")
     recipes = spark.read.schema(OBJECTS).parquet(f"{folder}/objects").where("kind = 1")
     n_tokens = F.aggregate("lengths", F.lit(0).cast("long"), lambda s, n: s + n)
     order = ["doc_id", "n_tokens", "root", "key"]
