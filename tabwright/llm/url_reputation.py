@@ -68,8 +68,9 @@ def _strength(level: DataFrame, mean: str) -> DataFrame:
         F.sum(spread).alias("a"),
         F.sum(spread * (F.col("n") - 1)).alias("b"),
     )
-    rho = F.when(F.col("b") > 0, (F.col("q") - F.col("a")) / F.col("b"))
-    return sums.select(F.coalesce(F.least(F.greatest(1 / F.greatest(rho, F.lit(1e-4)) - 1, F.lit(1.0)), F.lit(1e4)), F.lit(2.0)).alias("strength"))
+    rho = F.greatest((F.col("q") - F.col("a")) / F.col("b"), F.lit(1e-4))
+    fitted = F.least(F.greatest(1 / rho - 1, F.lit(1.0)), F.lit(1e4))
+    return sums.select(F.when(F.col("b") > 0, fitted).otherwise(F.lit(2.0)).alias("strength"))
 
 
 def host_reputation(hosts: DataFrame) -> DataFrame:
