@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,6 +29,17 @@ def shared_dir(spark: SparkSession) -> str:
     return found
 
 
+def scratch_dir(spark: SparkSession, name: str) -> str:
+    """A new folder name in the shared folder, whose files go when the driver ends: results that are still to be computed
+    read them until then."""
+    folder = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(path)  # only what exists can be marked
+    files.deleteOnExit(path)
+    return folder
+
+
 def cut(frame: DataFrame) -> DataFrame:
     """Materialise in the shared checkpoint folder: survives lost executors and ends the lineage."""
     spark = frame.sparkSession

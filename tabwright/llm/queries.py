@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabwright.llm import decontamination, embedding_dedup, minhash_dedup, mixing, quality_ranking, ring_sharding, suffix_dedup, token_store, toxicity, url_reputation
-from tabwright.llm.common import crc_fold, shared_dir, table
+from tabwright.llm.common import crc_fold, scratch_dir, table
 
 URL_RULES = (
     ("allow", "com", "/"),
@@ -43,7 +42,7 @@ def op3_bradley_terry(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder = f"{shared_dir(spark)}/token-store-{uuid.uuid4().hex}"
+    folder = f"{scratch_dir(spark, 'token-store')}/store"
     token_store.write_store(table(spark, sf_dir, "documents"), folder, vocabulary(), end_id=0)
     return token_store.read_index(spark, folder)
 

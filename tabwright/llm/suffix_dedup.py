@@ -27,7 +27,6 @@ ordered by their crc32; empty tables give empty results. Only the columns named
 from __future__ import annotations
 
 import hashlib
-import uuid
 import zlib
 from collections.abc import Iterator
 
@@ -36,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabwright.llm.common import shared_dir
+from tabwright.llm.common import scratch_dir
 from tabwright.llm.words import mix
 
 GRAM = 32
@@ -407,7 +406,7 @@ def remove_repeats(documents: DataFrame, length: int = 100, bucket_bytes: int =
     buckets = max(24, -(-total * 2 * _PAIR.itemsize // (length - GRAM + 2) // bucket_bytes))
     pairs = docs.mapInArrow(_pairs(length, buckets), "bucket int, rows int, pairs binary")
     spans = pairs.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(_ranked(crowd), _SPANS)
-    folder = f"{shared_dir(spark)}/repeats-{uuid.uuid4().hex}"
+    folder = f"{scratch_dir(spark, 'repeats')}/spans"
     spans.write.option("compression", "zstd").parquet(folder)
     spans = spark.read.schema(_SPANS).parquet(folder)
 
@@ -415,7 +414,7 @@ def remove_repeats(documents: DataFrame, length: int = 100, bucket_bytes: int =
     asked = spans.where("ask").groupBy("doc_id", "tie").agg(F.collect_list(F.struct("low", "n", "crowd", "anchor")).alias("spans"))
     asked = asked.withColumnRenamed("doc_id", "key")
     contexts = keyed.join(asked, ["key", "tie"]).select("key", "tie", "text", "spans").mapInArrow(_contexts(length), _CONTEXT)
-    folder = f"{shared_dir(spark)}/contexts-{uuid.uuid4().hex}"
+    folder = f"{scratch_dir(spark, 'repeats')}/contexts"
     contexts.write.partitionBy("found").option("compression", "zstd").parquet(folder)
     contexts = spark.read.schema(_CONTEXT).parquet(folder)
     shared = contexts.where("not found").select("anchor", "doc_id", "tie", "low", "bytes")
