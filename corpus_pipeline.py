@@ -6,14 +6,12 @@ Rows that share an id are told apart by the crc32 of their texts, and rows alike
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tabwright.llm import decontamination, minhash_dedup, mixing, token_store, toxicity
-from tabwright.llm.common import crc_fold, shared_dir, table
+from tabwright.llm.common import crc_fold, scratch_dir, table
 from tabwright.llm.queries import vocabulary
 
 #: Texts at or over this toxicity go.
@@ -80,7 +78,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def store_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The token store's index, read back from its files."""
-    folder = f"{shared_dir(spark)}/token-store-{uuid.uuid4().hex}"
+    folder = f"{scratch_dir(spark, 'token-store')}/store"
     token_store.write_store(docs, folder, vocabulary(), end_id=0)
     return token_store.read_index(spark, folder)
 
@@ -96,7 +94,7 @@ STAGES = [
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages over documents; each one's rows are written to the shared folder and read again."""
-    folder = f"{shared_dir(spark)}/pipeline-{uuid.uuid4().hex}"
+    folder = scratch_dir(spark, "pipeline")
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
