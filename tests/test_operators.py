@@ -147,7 +147,7 @@ def test_filters(spark):
     assert one(spark, filters.section_row(cells("North", "", "")), s="") and not one(spark, filters.section_row(cells("", "", "")), s="")
     assert one(spark, filters.header_row(cells("State Name", "x"), ["state"]), s="") and one(spark, filters.holds(cells("a", "see http://x"), ["http"]), s="")
     assert one(spark, filters.ends_with_word(F.lit("Foo district"), "District"), s="") and not one(spark, filters.ends_with_word(F.lit("Subdistrict"), "District"), s="")
-    assert one(spark, filters.of_release(F.lit("lgd-extra1"), "lgd"), s="") and not one(spark, filters.of_release(F.lit("lgdx"), "lgd"), s="")
+    assert one(spark, filters.of_release(F.lit("reg-extra1"), "reg"), s="") and not one(spark, filters.of_release(F.lit("regx"), "reg"), s="")
 
 
 # Joins
@@ -183,8 +183,8 @@ def test_ordered(spark):
     assert sorted((r.pos, r.cells) for r in ordered.ensure_header(page, ["Name", "ID"]).collect()) == [(-1, ["Name", "ID"]), (0, ["x", "1"])]
     headed = spark.createDataFrame([(0, ["Name", "ID"]), (1, ["x", "1"])], "pos int, cells array<string>")
     assert ordered.ensure_header(headed, ["Name", "ID"]).count() == 2
-    names = spark.createDataFrame([("lgd-extra10",), ("lgd",), ("lgd-extra2",), ("lgd-odd",)], "n string")
-    assert [r.n for r in names.orderBy(*ordered.release_order(F.col("n"))).collect()] == ["lgd", "lgd-extra2", "lgd-extra10", "lgd-odd"]
+    names = spark.createDataFrame([("reg-extra10",), ("reg",), ("reg-extra2",), ("reg-odd",)], "n string")
+    assert [r.n for r in names.orderBy(*ordered.release_order(F.col("n"))).collect()] == ["reg", "reg-extra2", "reg-extra10", "reg-odd"]
 
 
 def test_snapshots(spark):
@@ -272,8 +272,8 @@ def test_closure_with_a_cycle(spark):
 
 
 def test_undo(spark):
-    rows = spark.createDataFrame([("s1", "", "", "NA"), ("s1", "", "", ""), ("s2", "", "", ""), ("s1", "d1", "", ""), ("s2", "d2", "v1", "77"), ("", "", "", ""), ("s2", "d2", "v2", "")], "state string, dist string, village string, lgd string")
-    got = hierarchy.undo(rows, {"state": spark.createDataFrame([("s1",)], "id string"), "village": spark.createDataFrame([("v1",), ("v2",)], "id string")}, "lgd", ["state", "dist", "village"])
+    rows = spark.createDataFrame([("s1", "", "", "NA"), ("s1", "", "", ""), ("s2", "", "", ""), ("s1", "d1", "", ""), ("s2", "d2", "v1", "77"), ("", "", "", ""), ("s2", "d2", "v2", "")], "state string, dist string, village string, reg string")
+    got = hierarchy.undo(rows, {"state": spark.createDataFrame([("s1",)], "id string"), "village": spark.createDataFrame([("v1",), ("v2",)], "id string")}, "reg", ["state", "dist", "village"])
     assert sorted(map(tuple, got.collect())) == [("s1", "d1", "", ""), ("s2", "", "", ""), ("s2", "d2", "v1", "77")]
     done = hierarchy.done_ids(rows, {"state": "state", "dist": "dist", "village": "village"}).collect()
     assert {(r.level, r.id) for r in done} == {("state", "s1"), ("state", "s2"), ("dist", "d1"), ("village", "v1"), ("village", "v2")}
