@@ -9,9 +9,9 @@ equal.
 Equal word sequences are one class. Classes whose registers agree in a whole band share a bucket:
 
 1. In each bucket all classes are compared with its pivot, the class with the least document.
-2. What is linked so far is joined. In buckets that still hold several components, each class is compared with
-   the most similar classes (by registers) of other components, in blocks; this is repeated on what is
-   still apart, until a round links nothing or ``rounds`` are over.
+2. What is linked so far is joined. In each bucket that still holds several components, each class is compared
+   with the ``most`` most similar classes (by registers) of the other components, in blocks; this is repeated
+   on what is still apart, until a round links nothing or ``rounds`` are over.
 
 A comparison computes the exact probability Jaccard similarity of whole texts; a link needs ``threshold``.
 Components of the links are the near-duplicate classes.
@@ -107,13 +107,13 @@ _SKETCH = "doc_id long, text_crc long, digest binary, bands array<long>, registe
 
 
 def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """doc_id, text -> doc_id, digest of the words, band hashes, registers as 16 bits each. Within a task's batch, the
+    """doc_id, text -> doc_id, crc32 of the text, digest of the words, band hashes, registers as 8 bits each. Within a task's batch, the
     sketch of a word sequence goes out once."""
     table = WordTable()
     for batch in batches:
         ids = batch.column(0).to_pylist()
         texts = [t or "" for t in batch.column(1).to_pylist()]
-        for low, high in text_groups(texts, 4_000_000):
+        for low, high in text_groups(texts, 2_000_000):
             parts, digests, fresh, crcs = [], [], [], []
             seen: set[bytes] = set()
             for text in texts[low:high]:
@@ -135,7 +135,7 @@ def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     for r in range(ROWS):
                         held = mix((held + registers[:, k * ROWS + r]) * _STEP)
                     bands[:, k] = held
-            short = (registers & np.uint64(0xFFFF)).astype("<u2")
+            short = (registers & np.uint64(0xFF)).astype(np.uint8)
             made = iter(range(len(parts)))
             out_bands, out_registers = [], []
             for new in fresh:
@@ -174,7 +174,8 @@ def _verify(threshold: float):
             return None
         mine = _arrays(pivot)
         others = [r for r in listed if not r["is_pivot"]]
-        close = [probability_jaccard(mine, _arrays(r)) for r in others]
+        # Rounded, so that a similarity of just the threshold isn't lost to the last bits of a sum.
+        close = [round(probability_jaccard(mine, _arrays(r)), 9) for r in others]
         return {"a": [pivot["digest"]] * len(others), "b": [r["digest"] for r in others], "similarity": close}
 
     return work
@@ -190,22 +191,21 @@ def _partners(floor: float, most: int):
         if len(number) < 2:
             return None
         comp = np.array([number[c] for c in component])
-        registers = np.frombuffer(b"".join(rows.column("registers").to_pylist()), "<u2").reshape(n, REGISTERS)
+        registers = np.frombuffer(b"".join(rows.column("registers").to_pylist()), np.uint8).reshape(n, REGISTERS)
         digests = rows.column("digest").to_pylist()
-        a, b = [], []
+        found: set[tuple[bytes, bytes]] = set()
         for i in range(n):
             same = (registers == registers[i]).mean(1)
             same[comp == comp[i]] = 0
-            best = np.argsort(-same, kind="stable")[:most]
+            best = np.argpartition(-same, min(most, n) - 1)[:most]
             for j in best[same[best] >= floor].tolist():
-                a.append(min(digests[i], digests[j]))
-                b.append(max(digests[i], digests[j]))
-        return {"a": a, "b": b} if a else None
+                found.add((min(digests[i], digests[j]), max(digests[i], digests[j])))
+        return {"a": [a for a, _ in found], "b": [b for _, b in found]} if found else None
 
     return work
 
 
-def near_duplicates(documents: DataFrame, threshold: float = 0.8, rounds: int = 3, block: int = 256, broadcast_ids: int = 500_000) -> DataFrame:
+def near_duplicates(documents: DataFrame, threshold: float = 0.8, rounds: int = 2, most: int = 3, block: int = 256, wide: int = 2048, broadcast_ids: int = 500_000) -> DataFrame:
     """documents(doc_id, text) -> doc_id, text_crc (crc32 of the text), class_id, kept, exact_copies (rows of the same words).
 
     kept: the one of the class with the least id, null ids last, and of equal ids the least crc32. Rows alike in both
@@ -232,10 +232,12 @@ def near_duplicates(documents: DataFrame, threshold: float = 0.8, rounds: int =
         texts = docs.withColumn("least", F.coalesce("doc_id", F.lit(-(2**63)))).join(small, "least", "left_semi")
         shingles = texts.select("text").mapInArrow(_shingles, "digest binary, shingles binary, counts binary").dropDuplicates(["digest"])
         shingles = cut(shingles.join(wanted, "digest", "left_semi"))
-        sizes = pairs.groupBy("pivot").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("parts"))
-        heads = sizes.select("pivot", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+        # Only pivots of many pairs are dealt into parts, so that no task gets all the rows of one.
+        heavy = cut(pairs.groupBy("pivot").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > block).select("pivot", F.ceil(F.col("n") / block).cast("int").alias("parts")))
+        parted = pairs.join(F.broadcast(heavy) if heavy.count() <= broadcast_ids else heavy, "pivot", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
+        heads = parted.select("pivot", "parts").distinct().select("pivot", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
         heads = heads.join(shingles, heads.pivot == shingles.digest).select("pivot", "part", F.lit(True).alias("is_pivot"), "digest", "shingles", "counts")
-        members = pairs.join(sizes, "pivot").select("pivot", F.pmod(F.xxhash64("digest"), F.col("parts")).cast("int").alias("part"), "digest")
+        members = parted.select("pivot", F.pmod(F.xxhash64("digest"), F.col("parts")).cast("int").alias("part"), "digest")
         members = members.join(shingles, "digest").select("pivot", "part", F.lit(False).alias("is_pivot"), "digest", "shingles", "counts")
         fields = pa.schema([("a", pa.binary()), ("b", pa.binary()), ("similarity", pa.float64())])
         return cut(per_group(heads.unionByName(members), ["pivot", "part"], _verify(threshold), "a binary, b binary, similarity double", fields))
@@ -245,17 +247,22 @@ def near_duplicates(documents: DataFrame, threshold: float = 0.8, rounds: int =
     floor = threshold - 3 * (threshold * (1 - threshold) / REGISTERS) ** 0.5
     for _ in range(rounds):
         placed = met.select("bucket", "digest").join(joined.withColumnRenamed("node", "digest"), "digest", "left").withColumn("component", F.coalesce("component", "digest"))
-        apart = placed.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low != high").select("bucket")
-        apart = placed.join(apart, "bucket").join(classes.select("digest", "registers"), "digest")
-        dealt = in_blocks(apart, ["bucket"], F.col("digest"), 2 * block)
+        # Buckets of several components, as rows of (bucket, class); one class in many buckets gets its registers once more.
+        several = placed.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low != high").select("bucket")
+        apart = cut(placed.join(several, "bucket"))
+        if apart.isEmpty():
+            break
+        dealt = in_blocks(apart, ["bucket"], F.col("digest"), wide).join(classes.select("digest", "registers"), "digest")
         fields = pa.schema([("a", pa.binary()), ("b", pa.binary())])
-        found = per_group(dealt, ["bucket", "left", "right"], _partners(floor, 3), "a binary, b binary", fields).distinct()
+        found = per_group(dealt, ["bucket", "left", "right"], _partners(floor, most), "a binary, b binary", fields).distinct()
         known = tested.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
         more = compared(found.join(known, ["a", "b"], "left_anti").toDF("pivot", "digest"))
-        tested = cut(tested.union(more))
-        if not more.where(F.col("similarity") >= threshold).limit(1).count():
+        linked = more.where(F.col("similarity") >= threshold)
+        if linked.isEmpty():
             break
-        joined = components(tested.where(F.col("similarity") >= threshold).select("a", "b"))
+        tested = tested.union(more)
+        # What is joined already stands for its edges.
+        joined = components(joined.toDF("a", "b").union(linked.select("a", "b")))
     named = classes.select("digest", "place", "copies").join(joined.withColumnRenamed("node", "digest"), "digest", "left").withColumn("component", F.coalesce("component", "digest"))
     named = named.join(named.groupBy("component").agg(F.min("place").alias("first")), "component").select("digest", "first", "copies")
     out = sketched.select("doc_id", "text_crc", "digest").join(named, "digest")

@@ -21,7 +21,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 class WordTable(dict):
     """token -> row number; the rows hold a 64-bit hash and small facts of the token. Emptied when over ``bound`` tokens."""
 
-    def __init__(self, describe: Callable[[str], tuple[str, int]] = lambda token: (token, 0), bound: int = 400_000):
+    def __init__(self, describe: Callable[[str], tuple[str, int]] = lambda token: (token, 0), bound: int = 250_000):
         self.describe, self.bound = describe, bound
         self.hashes = np.zeros(1 << 14, np.uint64)
         self.facts = np.zeros(1 << 14, np.int32)

@@ -82,6 +82,7 @@ def test_components(spark):
         a, b = find(a), find(b)
         root[max(a, b)] = min(a, b)
     want = {k: find(k) for k in list(root)}
-    got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
-    assert all(got.get(k, k) == v for k, v in want.items()) and set(got) <= set(want)
-    assert components(spark.createDataFrame([], "a long, b long")).collect() == []
+    for few in (10, 10_000):
+        got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long"), few).collect()}
+        assert all(got.get(k, k) == v for k, v in want.items()) and set(got) <= set(want)
+        assert components(spark.createDataFrame([], "a long, b long"), few - 11).collect() == []

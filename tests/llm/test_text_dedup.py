@@ -93,7 +93,7 @@ def brute_classes(rows, threshold=0.8):
 
 def test_classes_equal_all_pairs(spark):
     rows = corpus()
-    got = minhash_dedup.near_duplicates(frame(spark, rows), block=8).collect()
+    got = minhash_dedup.near_duplicates(frame(spark, rows), block=8, wide=16).collect()
     assert Counter((r.doc_id, r.class_id) for r in got) == brute_classes(rows)
     assert sum(r.kept for r in got if r.doc_id in range(7000, 7030)) == 1
 
