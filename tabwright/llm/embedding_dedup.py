@@ -167,12 +167,14 @@ def near_duplicates(embeddings: DataFrame, threshold: float = 0.95, block: int =
     """embeddings(vec_id, embedding) -> vec_id, n_links, component_id, kept."""
     rows = embeddings.select(F.col("vec_id").cast("long"), "embedding").mapInArrow(_read, "vec_id long, digest binary, unit binary")
     classes = rows.where("digest is not null").groupBy("digest").agg(F.count(F.lit(1)).alias("times"), F.min("vec_id").alias("least"), F.first("unit").alias("unit"))
-    classes = cut(classes)
+    # A node's bytes begin with its least id, so the least node of a component names its least id (null ids are last).
+    sortable = F.lpad(F.hex(F.coalesce("least", F.lit(2**63 - 1)).bitwiseXOR(F.lit(-(2**63)))), 16, "0")
+    classes = cut(classes.withColumn("node", F.concat(F.unhex(sortable), F.when(F.col("least").isNull(), F.unhex(F.lit("01"))).otherwise(F.unhex(F.lit("00"))), "digest")))
     if hashes is None:
         size = classes.count()
         hashes = min(5, max(2, math.ceil(math.log(max(size, 2) / 64, 128))))
     tables = TABLES[hashes]
-    coded = classes.select("digest", "times", "unit").mapInArrow(_coded(tables, hashes), "digest binary, times long, unit binary, dim int, codes binary, buckets array<long>")
+    coded = classes.select(F.col("node").alias("digest"), "times", "unit").mapInArrow(_coded(tables, hashes), "digest binary, times long, unit binary, dim int, codes binary, buckets array<long>")
     met = coded.select("digest", "times", "unit", "dim", "codes", F.posexplode("buckets").alias("at", "bucket"))
     met = met.select("digest", "times", "unit", "dim", "codes", F.expr(f"at div {1 + hashes}").cast("int").alias("table"), (F.col("at") % (1 + hashes) == 0).alias("home"), "bucket")
     key = ["dim", "table", "bucket"]
@@ -180,11 +182,10 @@ def near_duplicates(embeddings: DataFrame, threshold: float = 0.95, block: int =
     arrow = pa.schema([("digest", pa.binary()), ("links", pa.int64()), ("root", pa.binary())])
     found = cut(per_group(dealt, [*key, "left", "right"], _links(threshold, tables, 1 + hashes, block), "digest binary, links long, root binary", arrow))
     joined = components(found.select(F.col("digest").alias("a"), F.col("root").alias("b")))
-    totals = found.groupBy("digest").agg(F.sum("links").alias("links"))
-    named = classes.select("digest", "times", "least").join(totals, "digest", "left").join(joined.withColumnRenamed("node", "digest"), "digest", "left")
-    named = named.withColumn("component", F.coalesce("component", "digest"))
-    least = named.groupBy("component").agg(F.min("least").alias("component_id"))
-    named = named.join(least, "component").select("digest", (F.col("times") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), "component_id")
+    totals = found.groupBy("digest").agg(F.sum("links").alias("links")).withColumnRenamed("digest", "node")
+    named = classes.select("digest", "node", "times").join(totals, "node", "left").join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    least = F.conv(F.hex(F.substring("component", 1, 8)), 16, -10).cast("bigint").bitwiseXOR(F.lit(-(2**63)))
+    named = named.select("digest", (F.col("times") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"), F.when(F.hex(F.substring("component", 9, 1)) == "00", least).alias("component_id"))
     ids = rows.select("vec_id", "digest")
     out = ids.join(named, "digest", "left")
     component = F.when(F.col("digest").isNull(), F.col("vec_id")).otherwise(F.col("component_id"))
