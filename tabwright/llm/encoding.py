@@ -6,7 +6,9 @@ import json
 import os
 import re
 import struct
-from functools import lru_cache
+import threading
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 
@@ -62,7 +64,7 @@ class Encoder:
     vocabularies of another kind, are encoded whole.
     """
 
-    def __init__(self, spec: str, bound: int = 900_000):
+    def __init__(self, spec: str, bound: int = 800_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -98,10 +100,13 @@ class Encoder:
         head = self.bare[first] if first else b""
         return head + b"".join(map(self.spaced.__getitem__, rest))
 
+    def clear(self) -> None:
+        for cache in (self.spaced, self.bare, self.marks):
+            cache.clear()
+
     def encode(self, texts: list[str]) -> list[bytes]:
         if len(self.spaced) + len(self.bare) + len(self.marks) > self.bound:
-            for cache in (self.spaced, self.bare, self.marks):
-                cache.clear()
+            self.clear()
         out = []
         for text in texts:
             if self.by_part and not any(s in text for s in self.whole_if):
@@ -111,10 +116,31 @@ class Encoder:
         return out
 
 
-@lru_cache(maxsize=2)
-def shared_encoder(spec: str) -> Encoder:
-    """One encoder for all tasks of a Python worker, so that a task needn't learn again what the last one knew."""
-    return Encoder(spec)
+_SHARED: dict[str, Encoder] = {}
+_CLEARING: list[threading.Timer] = []
+#: Seconds after which a Python worker that encodes nothing lets go of what it has learnt.
+IDLE = 8.0
+
+
+@contextmanager
+def shared_encoder(spec: str) -> Iterator[Encoder]:
+    """One encoder for all tasks of a Python worker, so that a task needn't learn again what the last one knew.
+
+    Workers live on after their tasks; the caches don't, once they are idle.
+    """
+    while _CLEARING:
+        _CLEARING.pop().cancel()
+    encoder = _SHARED.get(spec)
+    if encoder is None:
+        _SHARED.clear()
+        encoder = _SHARED[spec] = Encoder(spec)
+    try:
+        yield encoder
+    finally:
+        timer = threading.Timer(IDLE, encoder.clear)
+        timer.daemon = True
+        _CLEARING.append(timer)
+        timer.start()
 
 
 def text_groups(texts: list[str], most: int = 2_000_000):

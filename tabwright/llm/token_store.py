@@ -31,7 +31,7 @@ from pyspark.sql.types import LongType
 from pyspark.sql.window import Window
 
 from tabwright.llm.common import cut
-from tabwright.llm.encoding import shared_encoder, text_groups
+from tabwright.llm.encoding import Encoder, shared_encoder, text_groups
 
 WINDOW, MIN, AVERAGE, MAX = 8, 64, 512, 4096
 #: Addresses that a task remembers, so that a chunk which many of its documents hold leaves the task once.
@@ -101,7 +101,10 @@ def _objects(spec, end_id: int):
     """mapInArrow: documents to chunk and recipe rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = shared_encoder(spec.value)
+        with shared_encoder(spec.value) as encoder:
+            yield from stored(batches, encoder)
+
+    def stored(batches: Iterator[pa.RecordBatch], encoder: Encoder) -> Iterator[pa.RecordBatch]:
         width = encoder.dtype.itemsize
         end = np.array([end_id], encoder.dtype).tobytes()
         task = TaskContext.get().partitionId()

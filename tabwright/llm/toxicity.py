@@ -204,14 +204,14 @@ def fit(documents: DataFrame, labels: DataFrame, max_labelled: int = 20_000, max
     return model
 
 
-def score(documents: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """documents(doc_id, text, ..) -> the columns ``keep`` and score. Other columns of the table aren't read."""
+def score(documents: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",), name: str = "score") -> DataFrame:
+    """documents(doc_id, text, ..) -> the columns ``keep`` and ``name``. Other columns of the table aren't read."""
     chosen = documents.select(*keep, F.col("text").alias("__text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [t or "" for t in batch.column(len(keep)).to_pylist()]
             scores = [model.score(h) for h in term_hits(texts, model.terms)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], pa.array(scores, pa.float64())], names=[*keep, "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], pa.array(scores, pa.float64())], names=[*keep, name])
 
-    return chosen.mapInArrow(run, StructType([*chosen.schema.fields[: len(keep)], StructField("score", DoubleType())]))
+    return chosen.mapInArrow(run, StructType([*chosen.schema.fields[: len(keep)], StructField(name, DoubleType())]))
