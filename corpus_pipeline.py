@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tabwright.llm import decontamination, minhash_dedup, mixing, token_store, toxicity
-from tabwright.llm.common import crc_fold, scratch_dir, table
+from tabwright.llm.common import crc_fold, cut, scratch_dir, table
 from tabwright.llm.queries import vocabulary
 
 #: Texts at or over this toxicity go.
@@ -46,7 +46,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents under the toxicity threshold. The model learns from folds 0 and 2 of 3."""
     labels = table(spark, sf_dir, "labels")
     model = toxicity.fit(docs, labels.where(crc_fold(F.col("doc_id"), 3) != 1))
-    return toxicity.score(docs, model, tuple(docs.columns)).where(F.col("score") < TOXIC).drop("score")
+    return toxicity.score(docs, model, tuple(docs.columns), "__score").where(F.col("__score") < TOXIC).drop("__score")
 
 
 def one_of_each_near_duplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -60,7 +60,7 @@ def one_of_each_near_duplicate(spark: SparkSession, docs: DataFrame, sf_dir: str
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item, verbatim or with other values in its slots."""
     leaks = decontamination.find_leaks(docs, table(spark, sf_dir, "benchmark"))
-    ids = leaks.select(_key(), F.col("text_crc").alias("__crc")).distinct()
+    ids = cut(leaks.select(_key(), F.col("text_crc").alias("__crc")).distinct())  # else the search runs for the count and for the join
     return docs.select("*", _key(), _crc()).join(_small(ids), ["__key", "__crc"], "left_anti").select(*docs.columns)
 
 
