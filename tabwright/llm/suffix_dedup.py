@@ -135,7 +135,8 @@ def _pairs(length: int, buckets: int):
     """doc_id, text -> bucket, packed pairs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        slices = (whole.slice(at, 2000) for whole in batches for at in range(0, whole.num_rows, 2000))
+        for batch in slices:  # a worker holds the pairs of one slice at a time
             parts = []
             for ids, ties, raw in _grouped(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 bounds = np.concatenate([[0], np.cumsum([len(r) for r in raw])])
@@ -395,7 +396,7 @@ def _without(length: int):
     return run
 
 
-def remove_repeats(documents: DataFrame, length: int = 100, bucket_bytes: int = 16 << 20, crowd: int = 512) -> DataFrame:
+def remove_repeats(documents: DataFrame, length: int = 100, bucket_bytes: int = 8 << 20, crowd: int = 512) -> DataFrame:
     """documents(doc_id, text) -> doc_id, n_bytes, removed (maximal runs of removed bytes), kept (the other bytes)."""
     if length < GRAM + 8:
         raise ValueError(f"repeats have {GRAM + 8} bytes at least")
