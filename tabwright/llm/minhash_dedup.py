@@ -9,9 +9,10 @@ equal.
 Equal word sequences are one class. Classes whose registers agree in a whole band share a bucket:
 
 1. In each bucket all classes are compared with its pivot, the class with the least document.
-2. What is linked so far is joined. In each bucket that still holds several components, each class is compared
-   with the ``most`` most similar classes (by registers) of the other components, in blocks; this is repeated
-   on what is still apart, until a round links nothing or ``rounds`` are over.
+2. What is linked so far is joined. In each bucket that still holds several components, every two classes of
+   different components whose registers agree to the threshold less three standard deviations are compared, in
+   blocks. A pair that shares several buckets is compared in that of its first band. Where a block pair links two
+   components, they are one for the rest of it, and only the links leave it.
 
 A comparison computes the exact probability Jaccard similarity of whole texts; a link needs ``threshold``.
 Components of the links are the near-duplicate classes.
@@ -181,31 +182,77 @@ def _verify(threshold: float):
     return work
 
 
-def _partners(floor: float, most: int):
-    """Work on one block pair of a bucket: for each class, its most similar ones by registers in other components."""
+def _open_pairs(rows: pa.Table, component: np.ndarray, floor: float) -> Iterator[tuple[int, np.ndarray]]:
+    """Of one block pair of a bucket: rows with the later rows that they are to be compared with, which are those of
+    other components (as ``component`` says by then) with registers alike, unless an earlier band has the pair too."""
+    n = rows.num_rows
+    registers = np.frombuffer(b"".join(rows.column("registers").to_pylist()), np.uint8).reshape(n, REGISTERS)
+    bands = rows.column("bands").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(n, BANDS)
+    band = int(np.flatnonzero(bands[0] == rows.column("bucket")[0].as_py())[0])
+    own = rows.column("own_block").to_numpy()
+    across = rows.column("left")[0].as_py() != rows.column("right")[0].as_py()  # two rows of one block meet where it is paired with itself
+    for i in range(n - 1):
+        at = np.flatnonzero((component[i + 1 :] != component[i]) & ((own[i + 1 :] != own[i]) if across else True)) + i + 1
+        at = at[(registers[at] == registers[i]).mean(1) >= floor]
+        at = at[(bands[at, :band] != bands[i, :band]).all(1)]
+        if len(at):
+            yield i, at
+
+
+def _numbered(rows: pa.Table) -> np.ndarray:
+    return np.unique(np.array(rows.column("component").to_pylist(), object), return_inverse=True)[1]
+
+
+def _open(floor: float):
+    """Work on one block pair: its classes that are to be compared with any other."""
 
     def work(rows: pa.Table) -> dict[str, list] | None:
-        n = rows.num_rows
-        component = rows.column("component").to_pylist()
-        number = {c: i for i, c in enumerate(dict.fromkeys(component))}
-        if len(number) < 2:
-            return None
-        comp = np.array([number[c] for c in component])
-        registers = np.frombuffer(b"".join(rows.column("registers").to_pylist()), np.uint8).reshape(n, REGISTERS)
+        wanted = np.zeros(rows.num_rows, bool)
+        for i, at in _open_pairs(rows, _numbered(rows), floor):
+            wanted[i] = wanted[at] = True
+        found = rows.select(["bucket", "digest", "component"]).filter(pa.array(wanted))
+        return {name: found.column(name).to_pylist() for name in found.column_names} if found.num_rows else None
+
+    return work
+
+
+def _links(threshold: float, floor: float):
+    """Work on one block pair with its shingles: the verified links that join its components."""
+
+    def work(rows: pa.Table) -> dict[str, list] | None:
+        texts = [_arrays(r) for r in rows.select(["shingles", "counts"]).to_pylist()]
+        component = _numbered(rows)
+        ends = np.cumsum([len(names) for names, _ in texts])
+        numbers = np.split(np.unique(np.concatenate([names for names, _ in texts]), return_inverse=True)[1], ends[:-1])
+        shares = [counts / counts.sum() for _, counts in texts]
+        even = [bool((counts == counts[0]).all()) if len(counts) else False for _, counts in texts]
+        mine = np.zeros(max((int(n.max()) for n in numbers if len(n)), default=0) + 1)
         digests = rows.column("digest").to_pylist()
-        found: set[tuple[bytes, bytes]] = set()
-        for i in range(n):
-            same = (registers == registers[i]).mean(1)
-            same[comp == comp[i]] = 0
-            best = np.argpartition(-same, min(most, n) - 1)[:most]
-            for j in best[same[best] >= floor].tolist():
-                found.add((min(digests[i], digests[j]), max(digests[i], digests[j])))
-        return {"a": [a for a, _ in found], "b": [b for _, b in found]} if found else None
+        a, b = [], []
+        for i, at in _open_pairs(rows, component, floor):
+            mine[numbers[i]] = shares[i]
+            for j in at.tolist():
+                if component[i] == component[j]:
+                    continue
+                theirs = mine[numbers[j]]
+                if even[i] and even[j]:
+                    common = np.count_nonzero(theirs)
+                    close = common / (len(numbers[i]) + len(numbers[j]) - common)
+                elif np.minimum(theirs, shares[j]).sum() < threshold - 1e-6:
+                    continue  # texts can't agree in a register more often than their distributions overlap
+                else:
+                    close = probability_jaccard(texts[i], texts[j])
+                if round(close, 9) >= threshold:
+                    component[component == component[j]] = component[i]
+                    a.append(digests[i])
+                    b.append(digests[j])
+            mine[numbers[i]] = 0
+        return {"a": a, "b": b} if a else None
 
     return work
 
 
-def near_duplicates(documents: DataFrame, threshold: float = 0.8, rounds: int = 2, most: int = 3, block: int = 256, wide: int = 2048, broadcast_ids: int = 500_000) -> DataFrame:
+def near_duplicates(documents: DataFrame, threshold: float = 0.8, block: int = 256, wide: int = 2048, broadcast_ids: int = 500_000) -> DataFrame:
     """documents(doc_id, text) -> doc_id, text_crc (crc32 of the text), class_id, kept, exact_copies (rows of the same words).
 
     kept: the one of the class with the least id, null ids last, and of equal ids the least crc32. Rows alike in both
@@ -222,16 +269,19 @@ def near_duplicates(documents: DataFrame, threshold: float = 0.8, rounds: int =
     pivots = in_bucket.groupBy("bucket").agg(F.min(order).alias("pivot"), F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket", F.col("pivot.digest").alias("pivot"))
     met = cut(in_bucket.join(pivots, "bucket").select("bucket", "digest", "pivot"))
 
-    def compared(pairs: DataFrame) -> DataFrame:
-        """pairs(pivot, digest), distinct -> a, b, similarity."""
-        pairs = cut(pairs)
-        wanted = pairs.select("digest").union(pairs.select("pivot")).distinct()
+    def shingles_of(wanted: DataFrame) -> DataFrame:
+        """wanted(digest), distinct -> digest, shingles, counts."""
         sources = cut(classes.join(wanted, "digest").select(F.coalesce("least", F.lit(-(2**63))).alias("least")).distinct())
         # Ids go to all executors only up to a stated number (8 bytes each); beyond it the texts are shuffled.
         small = F.broadcast(sources) if sources.count() <= broadcast_ids else sources
         texts = docs.withColumn("least", F.coalesce("doc_id", F.lit(-(2**63)))).join(small, "least", "left_semi")
         shingles = texts.select("text").mapInArrow(_shingles, "digest binary, shingles binary, counts binary").dropDuplicates(["digest"])
-        shingles = cut(shingles.join(wanted, "digest", "left_semi"))
+        return cut(shingles.join(wanted, "digest", "left_semi"))
+
+    def compared(pairs: DataFrame) -> DataFrame:
+        """pairs(pivot, digest), distinct -> a, b, similarity."""
+        pairs = cut(pairs)
+        shingles = shingles_of(pairs.select("digest").union(pairs.select("pivot")).distinct())
         # Only pivots of many pairs are dealt into parts, so that no task gets all the rows of one.
         heavy = cut(pairs.groupBy("pivot").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > block).select("pivot", F.ceil(F.col("n") / block).cast("int").alias("parts")))
         parted = pairs.join(F.broadcast(heavy) if heavy.count() <= broadcast_ids else heavy, "pivot", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
@@ -245,24 +295,22 @@ def near_duplicates(documents: DataFrame, threshold: float = 0.8, rounds: int =
     tested = compared(met.where("digest != pivot").select("pivot", "digest").distinct())
     joined = components(tested.where(F.col("similarity") >= threshold).select("a", "b"))
     floor = threshold - 3 * (threshold * (1 - threshold) / REGISTERS) ** 0.5
-    for _ in range(rounds):
-        placed = met.select("bucket", "digest").join(joined.withColumnRenamed("node", "digest"), "digest", "left").withColumn("component", F.coalesce("component", "digest"))
-        # Buckets of several components, as rows of (bucket, class); one class in many buckets gets its registers once more.
-        several = placed.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low != high").select("bucket")
-        apart = cut(placed.join(several, "bucket"))
-        if apart.isEmpty():
-            break
-        dealt = in_blocks(apart, ["bucket"], F.col("digest"), wide).join(classes.select("digest", "registers"), "digest")
+    placed = met.select("bucket", "digest").join(joined.withColumnRenamed("node", "digest"), "digest", "left").withColumn("component", F.coalesce("component", "digest"))
+    # Buckets of several components, as rows of (bucket, class).
+    several = placed.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low != high").select("bucket")
+    apart = cut(placed.join(several, "bucket"))
+    if not apart.isEmpty():
+        signs, key = classes.select("digest", "bands", "registers"), ["bucket", "left", "right"]
+        dealt = in_blocks(apart, ["bucket"], F.col("digest"), wide).join(signs, "digest")
+        fields = pa.schema([("bucket", pa.int64()), ("digest", pa.binary()), ("component", pa.binary())])
+        # Shingles go only to the buckets where a class has something to be compared with.
+        left = cut(per_group(dealt, key, _open(floor), "bucket long, digest binary, component binary", fields).distinct())
+        shingles = shingles_of(left.select("digest").distinct())
+        dealt = in_blocks(left, ["bucket"], F.col("digest"), block).join(signs, "digest").join(shingles, "digest")
         fields = pa.schema([("a", pa.binary()), ("b", pa.binary())])
-        found = per_group(dealt, ["bucket", "left", "right"], _partners(floor, most), "a binary, b binary", fields).distinct()
-        known = tested.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        more = compared(found.join(known, ["a", "b"], "left_anti").toDF("pivot", "digest"))
-        linked = more.where(F.col("similarity") >= threshold)
-        if linked.isEmpty():
-            break
-        tested = tested.union(more)
+        linked = cut(per_group(dealt, key, _links(threshold, floor), "a binary, b binary", fields).distinct())
         # What is joined already stands for its edges.
-        joined = components(joined.toDF("a", "b").union(linked.select("a", "b")))
+        joined = components(joined.toDF("a", "b").union(linked))
     named = classes.select("digest", "place", "copies").join(joined.withColumnRenamed("node", "digest"), "digest", "left").withColumn("component", F.coalesce("component", "digest"))
     named = named.join(named.groupBy("component").agg(F.min("place").alias("first")), "component").select("digest", "first", "copies")
     out = sketched.select("doc_id", "text_crc", "digest").join(named, "digest")

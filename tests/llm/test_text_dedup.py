@@ -98,6 +98,23 @@ def test_classes_equal_all_pairs(spark):
     assert sum(r.kept for r in got if r.doc_id in range(7000, 7030)) == 1
 
 
+def pairs_in_boilerplate():
+    """150 pairs in one dense group: 0.82 within a pair, 0.79 between any others."""
+    plate = ["b%d" % i for i in range(200)]
+    rows = []
+    for k in range(150):
+        for side in (0, 1):
+            tail = ["p%d_%d" % (k, i) for i in range(4)] + ["s%d_%d_%d" % (k, side, i) for i in range(22)]
+            rows.append((2 * k + side, " ".join(plate + tail)))
+    return rows
+
+
+def test_a_near_copy_among_many_that_are_almost_as_near(spark):
+    rows = pairs_in_boilerplate()
+    got = minhash_dedup.near_duplicates(frame(spark, rows)).collect()
+    assert Counter((r.doc_id, r.class_id) for r in got) == Counter((i, i - i % 2) for i, _ in rows)
+
+
 def test_dedup_empty(spark):
     assert minhash_dedup.near_duplicates(frame(spark, [])).collect() == []
 
