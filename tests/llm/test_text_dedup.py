@@ -115,6 +115,12 @@ def test_a_near_copy_among_many_that_are_almost_as_near(spark):
     assert Counter((r.doc_id, r.class_id) for r in got) == Counter((i, i - i % 2) for i, _ in rows)
 
 
+def test_links_do_not_depend_on_the_width_of_blocks(spark):
+    rows = pairs_in_boilerplate()[:120]
+    got = minhash_dedup.near_duplicates(frame(spark, rows), block=8, wide=16).collect()
+    assert Counter((r.doc_id, r.class_id) for r in got) == Counter((i, i - i % 2) for i, _ in rows)
+
+
 def test_dedup_empty(spark):
     assert minhash_dedup.near_duplicates(frame(spark, [])).collect() == []
 
