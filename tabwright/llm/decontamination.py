@@ -5,9 +5,11 @@ into typed placeholders, other words lose case and outer marks. Windows of ``WIN
 documents are hash-joined with those of the benchmark. Hits of a document and an item line up on diagonals
 (word place less item place); a diagonal is a leak if
 
-* its hits cover ``coverage`` of the item's windows, or a run of at least ``run_words`` words in a row, and
-* the slots are consistent: along the diagonal every value in an item's slot always stands for the same value
-  in the document's. Equal values make a ``verbatim`` leak, others a ``reparameterised`` one.
+* its hits cover ``coverage`` of the item's windows, or a run of at least ``run_words`` words in a row,
+* counting only windows whose slots are consistent: a value in an item's slots stands for itself where it does so
+  anywhere, else for the value that it stands for in more than half of its slots; slots with another value, and
+  all slots of a value without such a meaning, take the windows over them out. A run also counts if it is
+  consistent for itself. Equal values make a ``verbatim`` leak, others a ``reparameterised`` one.
 
 The benchmark's windows are broadcast as sorted arrays in slices of at most ``slice_windows`` windows (16 bytes
 each), so what a task holds is bounded whatever the benchmark's size; each slice reads the documents once.
@@ -134,6 +136,33 @@ class Index:
         return np.repeat(at, times), rows
 
 
+def _consistent(places: np.ndarray, length: int, slot: np.ndarray, mine: np.ndarray, theirs: np.ndarray) -> np.ndarray:
+    """Those of the windows (their places in the item) that lie over no inconsistent slot. slot, mine, theirs: of each of
+    the item's words, whether it is a slot, its value, and the document's value on the diagonal."""
+    covered = np.zeros(len(mine), bool)
+    for k in range(length):
+        covered[places + k] = True
+    meant: dict[int, dict[int, int]] = {}
+    at = np.flatnonzero(covered & slot)
+    for a, b in zip(mine[at].tolist(), theirs[at].tolist(), strict=True):
+        meant.setdefault(a, {}).setdefault(b, 0)
+        meant[a][b] += 1
+    meaning = {}
+    for a, seen in meant.items():
+        best = a if a in seen else max(seen, key=seen.get)
+        meaning[a] = best if best == a or 2 * seen[best] > sum(seen.values()) else None
+    bad = np.zeros(len(mine) + 1, np.int64)
+    bad[at + 1] = [meaning[a] != b for a, b in zip(mine[at].tolist(), theirs[at].tolist(), strict=True)]
+    before = np.cumsum(bad)
+    return places[before[places + length] == before[places]]
+
+
+def _longest(places: np.ndarray) -> int:
+    """Windows in the longest run of consecutive places."""
+    ends = np.flatnonzero(np.diff(places) != 1)
+    return int(np.diff(np.concatenate([[-1], ends, [len(places) - 1]])).max()) if len(places) else 0
+
+
 def _leaks(index: Index, coverage: float, run_words: int):
     def group_leaks(doc_ids: list, texts: list[str], table: WordTable) -> Iterator[tuple]:
         words: list[str] = []
@@ -175,18 +204,22 @@ def _leaks(index: Index, coverage: float, run_words: int):
             for g in np.flatnonzero((share >= coverage) | (longest + length - 1 >= run_words)):
                 low, high = first[g], first[g] + counts[g]
                 d, item = int(doc[low]), int(owner[low])
-                covered = np.zeros(len(index.words[item]), bool)
-                for k in range(length):
-                    covered[place[low:high] + k] = True
-                mine = np.flatnonzero(covered)
-                theirs = mine + int(diagonal[low])
-                slots = np.flatnonzero((index.kinds[item][mine] != LITERAL) | (kinds[theirs] != LITERAL))
-                meaning: dict[int, int] = {}
-                values = zip(index.words[item][mine[slots]].tolist(), raw[theirs[slots]].tolist(), strict=True)
-                if not all(meaning.setdefault(a, b) == b for a, b in values):
-                    continue
-                kind = "verbatim" if all(a == b for a, b in meaning.items()) else "reparameterised"
-                found = (int(counts[g]), float(share[g]), int(longest[g] + length - 1), int(theirs[0] - edges[d]), int(theirs[-1] - edges[d] + 1), kind)
+                mine, shift = index.words[item], int(diagonal[low])
+                span = np.clip(np.arange(len(mine)) + shift, 0, len(raw) - 1)
+                theirs = raw[span]
+                slot = (index.kinds[item] != LITERAL) | (kinds[span] != LITERAL)
+                every = place[low:high]
+                left = _consistent(every, length, slot, mine, theirs)
+                if len(left) / index.counts[item] < coverage and (not len(left) or _longest(left) + length - 1 < run_words):
+                    # What clashes with a run may lie elsewhere on the diagonal.
+                    runs = [r for r in np.split(every, np.flatnonzero(np.diff(every) != 1) + 1) if len(r) + length - 1 >= run_words]
+                    left = max((_consistent(r, length, slot, mine, theirs) for r in runs), key=_longest, default=every[:0])
+                    if not len(left) or _longest(left) + length - 1 < run_words:
+                        continue
+                inside = np.unique(left[:, None] + np.arange(length))
+                kind = "verbatim" if (mine[inside] == theirs[inside]).all() else "reparameterised"
+                start = shift - int(edges[d])
+                found = (len(left), len(left) / index.counts[item], _longest(left) + length - 1, start + int(left[0]), start + int(left[-1]) + length, kind)
                 if (d, item) not in best or (found[0], -found[3]) > (best[d, item][0], -best[d, item][3]):
                     best[d, item] = found
             for (d, item), (n, cover, run, start, end, kind) in best.items():

@@ -163,6 +163,27 @@ def test_leaks(spark):
     assert Counter(sliced) == Counter(got)
 
 
+def leaks_of(item, text):
+    index = decontamination.Index([(1, item)])
+    return [(r[3], r[6]) for r in decontamination._leaks(index, 0.8, 13)([7], [text], decontamination.WordTable(decontamination.describe))]
+
+
+def test_a_slot_that_clashes_takes_out_its_own_windows_alone():
+    words = ["w%d" % i for i in range(40)]
+    words[5] = words[30] = "12"
+    changed = list(words)
+    changed[30] = "15"
+    assert leaks_of(" ".join(words), " ".join(changed)) == [("verbatim", 30)]
+    # A run of other values, and a clash elsewhere on its diagonal.
+    far = ["z%d" % i for i in range(40)]
+    far[:16], far[28:33] = words[:16], words[28:33]
+    far[5], far[30] = "7", "9"
+    assert leaks_of(" ".join(words), " ".join(far)) == [("reparameterised", 16)]
+    # Without a meaning that holds in most slots, short of coverage and run: no leak.
+    near = "read 12 words to the 12 men"
+    assert leaks_of(near, "read 7 words to the 8 men") == []
+
+
 def test_leaks_empty(spark):
     none = spark.createDataFrame([], "item_id long, text string")
     assert decontamination.find_leaks(frame(spark, [(1, "a b c d e f")]), none).collect() == []
