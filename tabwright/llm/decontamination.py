@@ -1,7 +1,10 @@
 """Benchmark decontamination by template canonicalisation.
 
 A text becomes a template: numbers, quantities, units after numbers and names (capitals inside a sentence) turn
-into typed placeholders, other words lose case and outer marks. Windows of ``WINDOW`` template words of all
+into typed placeholders, other words lose case and outer marks. Neighbouring numbers, neighbouring names, and a number and
+its unit are one placeholder, so that values of more or fewer words keep their place. A capital that begins a sentence has
+two readings, a plain word and a name (a name if names follow it); windows over such are hashed in both, all of
+a window's alike. Windows of ``WINDOW`` template words of all
 documents are hash-joined with those of the benchmark. Hits of a document and an item line up on diagonals
 (word place less item place); a diagonal is a leak if
 
@@ -67,20 +70,54 @@ def slot_hash(kind: int) -> np.uint64:
     return np.uint64(xxhash.xxh64_intdigest(_SLOTS[kind]))
 
 
-def template(hashes: np.ndarray, facts: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Word hashes and facts -> template hashes and kinds. starts: where lines (and so sentences) begin."""
+_POWERS = np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(255, 0x9E3779B97F4A7C15, np.uint64)]))
+
+
+def template(hashes: np.ndarray, facts: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Word hashes and facts -> of each template word: its hash, its hash where capitals that begin a sentence are names,
+    its kind, its value and its first word's place. starts: where lines (and so sentences) begin."""
     kinds = facts & 7
     fresh = np.zeros(len(facts), bool)
     fresh[1:] = facts[:-1] >= ENDS
     fresh[starts[starts < len(facts)]] = True
     after_number = np.zeros(len(facts), bool)
-    after_number[1:] = (kinds[:-1] == NUMBER) & (facts[:-1] < ENDS)
+    after_number[1:] = (kinds[:-1] == NUMBER) & ~fresh[1:]
     kinds = np.where((kinds == UNIT) & ~after_number, LITERAL, kinds)
-    kinds = np.where((kinds == CAPITAL) & fresh, LITERAL, kinds)
-    out = hashes.copy()
+    folded = np.zeros(len(facts), bool)
+    folded[1:] = ~fresh[1:] & (kinds[1:] == kinds[:-1]) & ((kinds[1:] == NUMBER) | (kinds[1:] == CAPITAL))
+    folded |= kinds == UNIT
+    at = np.flatnonzero(~folded)
+    if not len(at):
+        none = np.zeros(0, np.uint64)
+        return none, none, kinds[at], none, at
+    sizes = np.diff(np.append(at, len(facts)))
+    last = at + sizes - 1
+    values = hashes[at].copy()
+    many = np.flatnonzero(sizes > 1)
+    if len(many):
+        unit = np.repeat(np.arange(len(many)), sizes[many])
+        inner = np.arange(len(unit)) - np.repeat(np.cumsum(sizes[many]) - sizes[many], sizes[many])
+        with np.errstate(over="ignore"):
+            values[many] = np.add.reduceat(hashes[at[many][unit] + inner] * _POWERS[inner & 255], np.flatnonzero(inner == 0))
+    own = np.where(kinds[last] == UNIT, QUANTITY, kinds[at])
+    named = values.copy()
     for kind in _SLOTS:
-        out[kinds == kind] = slot_hash(kind)
-    return out, kinds
+        named[own == kind] = slot_hash(kind)
+    out = named.copy()
+    first = np.flatnonzero((own == CAPITAL) & fresh[at])
+    with np.errstate(over="ignore"):
+        out[first] = hashes[at[first]] + np.where(sizes[first] > 1, slot_hash(CAPITAL), np.uint64(0))
+    return out, named, own, values, at
+
+
+def both_readings(out: np.ndarray, named: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Window hashes and places: of all windows, then of those that the other reading changes."""
+    windows = window_hashes(out, size)
+    differs = np.concatenate([[0], np.cumsum(out != named)])
+    other = np.flatnonzero(differs[size:] != differs[: max(0, len(differs) - size)])
+    if not len(other):
+        return windows, np.arange(len(windows))
+    return np.concatenate([windows, window_hashes(named, size)[other]]), np.concatenate([np.arange(len(windows)), other])
 
 
 def read_text(text: str) -> tuple[list[str], list[int]]:
@@ -105,16 +142,16 @@ class Index:
             if not words:
                 continue
             raw, facts = table.read(words)
-            made, kinds = template(raw, facts, np.array(starts))
-            size = min(WINDOW, len(words))
-            found = window_hashes(made, size)
+            made, named, kinds, values, _ = template(raw, facts, np.array(starts))
+            size = min(WINDOW, len(made))
+            found, at = both_readings(made, named, size)
             hashes.append(found)
             owners.append(np.full(len(found), len(self.ids)))
-            places.append(np.arange(len(found)))
+            places.append(at)
             self.ids.append(item_id)
-            self.words.append(raw)
+            self.words.append(values)
             self.kinds.append(kinds)
-            self.counts.append(len(found))
+            self.counts.append(len(made) - size + 1)
             self.sizes.append(size)
         every = np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)
         order = np.argsort(every, kind="stable")
@@ -174,11 +211,13 @@ def _leaks(index: Index, coverage: float, run_words: int):
             words += own
             bounds.append(len(words))
         raw, facts = table.read(words)
-        edges = np.array(bounds)
-        made, kinds = template(raw, facts, np.array(starts))
+        made, named, kinds, raw, word = template(raw, facts, np.array(starts))
+        word = np.append(word, len(words))
+        edges = np.searchsorted(word, np.array(bounds))
         for length in index.lengths:
-            windows = window_hashes(made, length)
+            windows, window_at = both_readings(made, named, length)
             at, rows = index.hits(windows)
+            at = window_at[at]
             owner, place = index.owners[rows], index.places[rows]
             doc = np.searchsorted(edges, at, "right") - 1
             ok = (at + length <= edges[doc + 1]) & (np.array(index.sizes)[owner] == length) if len(at) else np.zeros(0, bool)
@@ -188,6 +227,10 @@ def _leaks(index: Index, coverage: float, run_words: int):
             diagonal = at - place
             order = np.lexsort((at, diagonal, owner, doc))
             at, owner, place, doc, diagonal = at[order], owner[order], place[order], doc[order], diagonal[order]
+            # A window that both readings find counts once.
+            once = np.ones(len(at), bool)
+            once[1:] = (doc[1:] != doc[:-1]) | (owner[1:] != owner[:-1]) | (diagonal[1:] != diagonal[:-1]) | (at[1:] != at[:-1])
+            at, owner, place, doc, diagonal = at[once], owner[once], place[once], doc[once], diagonal[once]
             new = np.ones(len(at), bool)
             new[1:] = (doc[1:] != doc[:-1]) | (owner[1:] != owner[:-1]) | (diagonal[1:] != diagonal[:-1])
             broken = new.copy()
@@ -218,8 +261,8 @@ def _leaks(index: Index, coverage: float, run_words: int):
                         continue
                 inside = np.unique(left[:, None] + np.arange(length))
                 kind = "verbatim" if (mine[inside] == theirs[inside]).all() else "reparameterised"
-                start = shift - int(edges[d])
-                found = (len(left), len(left) / index.counts[item], _longest(left) + length - 1, start + int(left[0]), start + int(left[-1]) + length, kind)
+                start, end = (int(word[at] - bounds[d]) for at in (left[0] + shift, left[-1] + shift + length))
+                found = (len(left), len(left) / index.counts[item], _longest(left) + length - 1, start, end, kind)
                 if (d, item) not in best or (found[0], -found[3]) > (best[d, item][0], -best[d, item][3]):
                     best[d, item] = found
             for (d, item), (n, cover, run, start, end, kind) in best.items():

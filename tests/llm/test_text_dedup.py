@@ -184,6 +184,15 @@ def test_a_slot_that_clashes_takes_out_its_own_windows_alone():
     assert leaks_of(near, "read 7 words to the 8 men") == []
 
 
+def test_names_that_begin_sentences_and_values_of_other_lengths():
+    item = "Tom buys red apples at the old market near home.\nTom then eats some of them by the quiet river.\nTom now asks how many are left in his bag."
+    assert leaks_of(item, item.replace("Tom", "Anna"))[0][0] == "reparameterised"
+    assert leaks_of(item, item.replace("Tom", "Anna Maria"))[0][0] == "reparameterised"
+    assert leaks_of(item, item) and leaks_of(item, item)[0][0] == "verbatim"
+    item = "a man walks 5 km from New York to a place and needs twenty five minutes, how fast"
+    assert leaks_of(item, "x " + item.replace("New York", "Paris").replace("twenty five", "30").replace("5 km", "5km"))[0][0] == "reparameterised"
+
+
 def test_leaks_empty(spark):
     none = spark.createDataFrame([], "item_id long, text string")
     assert decontamination.find_leaks(frame(spark, [(1, "a b c d e f")]), none).collect() == []
