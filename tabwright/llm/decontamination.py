@@ -135,14 +135,14 @@ class Index:
 
     def __init__(self, items: list[tuple[int | None, str | None]]):
         table = WordTable(describe)
-        self.ids, self.words, self.kinds, self.counts, self.sizes = [], [], [], [], []
+        self.ids, self.words, self.kinds, self.counts, self.sizes, self.starts = [], [], [], [], [], []
         hashes, owners, places = [], [], []
         for item_id, text in items:
             words, starts = read_text(text or "")
             if not words:
                 continue
             raw, facts = table.read(words)
-            made, named, kinds, values, _ = template(raw, facts, np.array(starts))
+            made, named, kinds, values, first = template(raw, facts, np.array(starts))
             size = min(WINDOW, len(made))
             found, at = both_readings(made, named, size)
             hashes.append(found)
@@ -150,6 +150,7 @@ class Index:
             places.append(at)
             self.ids.append(item_id)
             self.words.append(values)
+            self.starts.append(np.append(first, len(words)))
             self.kinds.append(kinds)
             self.counts.append(len(made) - size + 1)
             self.sizes.append(size)
@@ -194,10 +195,12 @@ def _consistent(places: np.ndarray, length: int, slot: np.ndarray, mine: np.ndar
     return places[before[places + length] == before[places]]
 
 
-def _longest(places: np.ndarray) -> int:
-    """Windows in the longest run of consecutive places."""
-    ends = np.flatnonzero(np.diff(places) != 1)
-    return int(np.diff(np.concatenate([[-1], ends, [len(places) - 1]])).max()) if len(places) else 0
+def _longest(places: np.ndarray, length: int, word: np.ndarray) -> int:
+    """Words that the longest run of windows at consecutive places covers. word: words before each of the item's places."""
+    if not len(places):
+        return 0
+    ends = np.append(np.flatnonzero(np.diff(places) != 1), len(places) - 1)
+    return int((word[places[ends] + length] - word[places[np.append(0, ends[:-1] + 1)]]).max())
 
 
 def _leaks(index: Index, coverage: float, run_words: int):
@@ -240,29 +243,33 @@ def _leaks(index: Index, coverage: float, run_words: int):
             first = np.flatnonzero(new)
             group_of_run = np.searchsorted(first, run_starts, "right") - 1
             longest = np.zeros(len(first), np.int64)
-            np.maximum.at(longest, group_of_run, run_sizes)
+            run_ends = run_starts + run_sizes - 1
+            np.maximum.at(longest, group_of_run, word[at[run_ends] + length] - word[at[run_starts]])
             counts = np.diff(np.append(first, len(at)))
             share = counts / np.array(index.counts)[owner[first]]
             best: dict[tuple[int, int], tuple] = {}
-            for g in np.flatnonzero((share >= coverage) | (longest + length - 1 >= run_words)):
+            for g in np.flatnonzero((share >= coverage) | (longest >= run_words)):
                 low, high = first[g], first[g] + counts[g]
                 d, item = int(doc[low]), int(owner[low])
                 mine, shift = index.words[item], int(diagonal[low])
                 span = np.clip(np.arange(len(mine)) + shift, 0, len(raw) - 1)
                 theirs = raw[span]
                 slot = (index.kinds[item] != LITERAL) | (kinds[span] != LITERAL)
+                # A run has as many words as it has in both texts: a long list of numbers is one placeholder.
+                steps = np.minimum(np.diff(index.starts[item]), np.diff(word)[span])
+                before = np.append(0, np.cumsum(steps))
                 every = place[low:high]
                 left = _consistent(every, length, slot, mine, theirs)
-                if len(left) / index.counts[item] < coverage and (not len(left) or _longest(left) + length - 1 < run_words):
+                if len(left) / index.counts[item] < coverage and _longest(left, length, before) < run_words:
                     # What clashes with a run may lie elsewhere on the diagonal.
-                    runs = [r for r in np.split(every, np.flatnonzero(np.diff(every) != 1) + 1) if len(r) + length - 1 >= run_words]
-                    left = max((_consistent(r, length, slot, mine, theirs) for r in runs), key=_longest, default=every[:0])
-                    if not len(left) or _longest(left) + length - 1 < run_words:
+                    runs = [r for r in np.split(every, np.flatnonzero(np.diff(every) != 1) + 1) if _longest(r, length, before) >= run_words]
+                    left = max((_consistent(r, length, slot, mine, theirs) for r in runs), key=lambda r: _longest(r, length, before), default=every[:0])
+                    if _longest(left, length, before) < run_words:
                         continue
                 inside = np.unique(left[:, None] + np.arange(length))
                 kind = "verbatim" if (mine[inside] == theirs[inside]).all() else "reparameterised"
                 start, end = (int(word[at] - bounds[d]) for at in (left[0] + shift, left[-1] + shift + length))
-                found = (len(left), len(left) / index.counts[item], _longest(left) + length - 1, start, end, kind)
+                found = (len(left), len(left) / index.counts[item], _longest(left, length, before), start, end, kind)
                 if (d, item) not in best or (found[0], -found[3]) > (best[d, item][0], -best[d, item][3]):
                     best[d, item] = found
             for (d, item), (n, cover, run, start, end, kind) in best.items():

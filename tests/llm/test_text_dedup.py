@@ -193,6 +193,13 @@ def test_names_that_begin_sentences_and_values_of_other_lengths():
     assert leaks_of(item, "x " + item.replace("New York", "Paris").replace("twenty five", "30").replace("5 km", "5km"))[0][0] == "reparameterised"
 
 
+def test_a_run_counts_words_of_folded_values():
+    words = ["w%d" % i for i in range(60)]
+    words[3:5], words[8:10] = ["New", "York"], ["twenty", "five"]
+    far = words[:14] + ["z%d" % i for i in range(40)]
+    assert leaks_of(" ".join(words), " ".join(far)) == [("verbatim", 14)]
+
+
 def test_leaks_empty(spark):
     none = spark.createDataFrame([], "item_id long, text string")
     assert decontamination.find_leaks(frame(spark, [(1, "a b c d e f")]), none).collect() == []
