@@ -138,3 +138,11 @@ def test_label_model_finds_accuracies():
     posterior, accuracy, corr = toxicity.label_model(votes, 0.2)
     assert ((posterior > 0.5) == truth).mean() > 0.93
     assert corr[0, 4] > 0.9 and accuracy[0] > accuracy[3]
+
+
+def test_top_word_is_the_most_frequent_one_in_any_order():
+    from tabwright.llm.quality_ranking import FEATURES, features
+
+    words = ["w%d" % i for i in range(80)] + ["junk"] * 20
+    at = FEATURES.index("top_word")
+    assert features(" ".join(words))[at] == features(" ".join(words[::-1]))[at] == 0.2
