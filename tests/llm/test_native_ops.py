@@ -111,6 +111,47 @@ def test_mix_targets_and_takes(spark):
     assert len({r.out_shard for r in drawn}) > 1
 
 
+def test_mix_against_a_plain_mix(spark):
+    """Word by word: streams laid out by start, slots taken one after the other."""
+    rows = sample()
+    block = 16
+    mixed, slots = mixing.mix(docs(spark, rows), block_words=block, shard_slots=8)
+    placed = mixing.with_offsets(mixing.sized(docs(spark, rows))).collect()
+    streams = defaultdict(dict)
+    for r in placed:
+        for w in range(r.start, r.start + r["size"]):
+            assert w not in streams[r.source]
+            streams[r.source][w] = 0
+    goal = {r.source: (r.source_size, round(r.target)) for r in mixed.collect()}
+    by_source, shards = defaultdict(list), defaultdict(list)
+    for r in slots.collect():
+        source = None if r.no_source else r.name
+        by_source[source].append(r)
+        shards[source, r.out_shard].append(r["pass"] * -(-goal[source][0] // block) + r.slot)
+    for (source, _), took in shards.items():
+        assert sorted(took) == list(range(min(took), min(took) + len(took))), source  # a count of seats, one after the other
+    for source, (size, target) in goal.items():
+        assert sorted(streams[source]) == list(range(size))
+        blocks, left = -(-size // block), target
+        for r in sorted(by_source[source], key=lambda r: (r["pass"], r.slot)):
+            words = min(block, size - r.block * block, left)
+            assert r.words == words and 0 <= r.block < blocks
+            left -= words
+            for w in range(words):
+                streams[source][r.block * block + w] += 1
+        assert left == 0
+    want = Counter((r.doc_id, r.source, r["size"], r.crc, sum(streams[r.source][w] for w in range(r.start, r.start + r["size"]))) for r in placed)
+    assert Counter((r.doc_id, r.source, r["size"], r.crc, r.taken) for r in mixed.collect()) == want
+
+
+def test_mix_long_texts_and_clashing_columns(spark):
+    rows = [(1, "w " * 40_000, "a"), (2, "one two", "a"), (3, "x " * 500, "b")]
+    frame = spark.createDataFrame([(i, t, s, 1, 2, 3, "n") for i, t, s in rows], "doc_id long, text string, source string, start int, size int, target int, name string")
+    got = {r.doc_id: r for r in mixing.mix(frame)[0].collect()}
+    assert [got[i]["size"] for i in (1, 2, 3)] == [40_000, 2, 500]
+    assert sum(r.taken for r in got.values()) == round(got[1].target) + round(got[3].target) and got[3].taken == 1500
+
+
 def test_mix_empty(spark):
     assert mixing.mix(docs(spark, []))[0].collect() == []
 
