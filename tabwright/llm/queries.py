@@ -71,7 +71,8 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A page's outcome is the quality label of the document whose id its path's first number names."""
+    """A page's outcome is the quality label of the document whose id its path's first number names. That is an assumption:
+    the tables have no outcomes of pages, and nothing in them says that the number is a document's id."""
     pages = table(spark, sf_dir, "pages")
     labels = table(spark, sf_dir, "labels").where("quality is not null").groupBy("doc_id").agg((1 - F.max("quality")).alias("bad"))
     named = pages.select("page_id", F.expr("try_cast(nullif(regexp_extract(url, '^(?s:.*?)://[^/?#]*[^?#0-9]*/([0-9]+)', 1), '') as bigint)").alias("doc_id"))

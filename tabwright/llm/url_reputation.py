@@ -20,6 +20,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tabwright.llm.common import cut
+
 #: (verdict, host, path) as a query states them.
 Rule = tuple[str, str, str]
 
@@ -76,9 +78,10 @@ def _strength(level: DataFrame, mean: str) -> DataFrame:
 def host_reputation(hosts: DataFrame) -> DataFrame:
     """hosts(host, n, bad: sums of labelled outcomes) -> host, n, bad, alpha, beta of its beta posterior."""
     base = hosts.withColumn("suffix", F.element_at(F.split("host", r"\."), -1))
-    base = base.withColumn("domain", registered_domain(F.col("host"), F.col("suffix")))
-    domains = base.groupBy("domain", "suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
-    suffixes = domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
+    # A level is read for its strength, its prior and the level above; one row for each host, domain and suffix is kept.
+    base = cut(base.withColumn("domain", registered_domain(F.col("host"), F.col("suffix"))))
+    domains = cut(base.groupBy("domain", "suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")))
+    suffixes = cut(domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")))
     total = suffixes.agg(((F.coalesce(F.sum("bad"), F.lit(0)) + 1) / (F.coalesce(F.sum("n"), F.lit(0)) + 2)).alias("mean0"))
 
     def shrunk(level: DataFrame, mean: str) -> DataFrame:
@@ -96,16 +99,16 @@ def host_reputation(hosts: DataFrame) -> DataFrame:
         return level.withColumn(mean, alpha / (alpha + beta)).drop("a0", "b0", "n_up", "bad_up")
 
     top = shrunk(suffixes.crossJoin(F.broadcast(total)), "mean0")
-    middle = shrunk(inherited(domains.join(parent(top, "suffix"), "suffix"), "mean1"), "mean1")
-    low = shrunk(inherited(base.join(parent(middle, "domain"), "domain"), "mean2"), "mean2")
+    middle = shrunk(cut(inherited(domains.join(parent(top, "suffix"), "suffix"), "mean1")), "mean1")
+    low = shrunk(cut(inherited(base.join(parent(middle, "domain"), "domain"), "mean2")), "mean2")
     return low.select("host", "domain", "suffix", "n", "bad", (F.col("a0") + F.col("bad")).alias("alpha"), (F.col("b0") + F.col("n") - F.col("bad")).alias("beta"))
 
 
 def judge_urls(pages: DataFrame, outcomes: DataFrame, rules: Sequence[Rule], max_bad_rate: float = 0.5, z: float = 1.645) -> DataFrame:
     """pages(page_id, url), outcomes(page_id, bad 0/1) -> page_id, host, path, rule, verdict, bad_mean, bad_lower.
 
-    ``bad_lower`` is the posterior mean less ``z`` standard deviations. Outcomes of one page id are averaged
-    before they count, so repeated outcome rows count once; null outcomes don't count.
+    ``bad_lower`` is the posterior mean less ``z`` standard deviations. Of several outcomes of one page id the worst
+    counts, once; rows that share a page id each count with it; null outcomes don't count.
     """
     base = pages.select("page_id", url_host(F.col("url")).alias("host"), url_path(F.col("url")).alias("path"))
     known = outcomes.where("bad is not null").groupBy("page_id").agg(F.max(F.col("bad").cast("long")).alias("bad"))
