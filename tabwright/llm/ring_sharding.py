@@ -8,9 +8,9 @@ of ranks, and each run has its shard and its first slot number there. Rows then
 
 With capacities of floor(n/k) or ceil(n/k) rows the law is ``rows``: counts at most one apart.
 
-Defined results: a null text has size 1 and the crc32 of no bytes; a null id is placed by its text's hash;
-equal ids are ordered by size and crc32, and rows alike in all of these are interchangeable; empty tables
-give empty results. Only the columns named are read.
+Defined results: a null text has size 1 and the crc32 of no bytes; rows are placed by id and text together, so that
+neither many rows of one id (or none) nor many of one text meet on an arc; rows alike in both are interchangeable;
+empty tables give empty results. Only the columns named are read, so extra columns may clash freely.
 """
 
 from __future__ import annotations
@@ -76,7 +76,7 @@ def shard_rows(documents: DataFrame, shards: int = 8, vnodes: int = 64, slots: i
     ``home_shard`` is the ring's own choice, before any overflow.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
-    placed = F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("?"), text)))
+    placed = F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("?")), F.crc32(text.cast("binary")))
     arc = F.shiftrightunsigned(placed, 44).cast("long") % slots
     counts = {int(r["arc"]): int(r["n"]) for r in documents.select(arc.alias("arc")).groupBy("arc").agg(F.count(F.lit(1)).alias("n")).collect()}
     total = sum(counts.values())
