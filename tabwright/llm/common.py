@@ -56,3 +56,12 @@ def text_or_empty(name: str = "text") -> Column:
 def crc_fold(doc_id: Column, folds: int) -> Column:
     """crc32 of the id's decimal digits modulo ``folds``; a null id counts as the empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % folds
+
+
+def labelled_texts(documents: DataFrame, labels: DataFrame, label: str, most: int) -> DataFrame:
+    """documents(doc_id, text), labels(doc_id, ``label``) -> text, ``label`` of at most ``most`` labelled ids, those with the
+    smallest hashes. An id with several texts gives the one with the least crc32, one with several labels the highest."""
+    chosen = labels.where(F.col(label).isNotNull()).groupBy("doc_id").agg(F.max(label).cast("int").alias(label))
+    chosen = chosen.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
+    met = documents.select("doc_id", text_or_empty().alias("text")).join(F.broadcast(chosen), "doc_id")  # at most ``most`` ids
+    return met.groupBy("doc_id", label).agg(F.min(F.struct(F.crc32(F.col("text").cast("binary")), "text")).alias("first")).select("first.text", label)
