@@ -11,12 +11,16 @@
    evidence is divided by one plus its summed correlations with others. The result is a posterior for each text.
 4. A logistic classifier on term and pattern features is trained on the posterior labels and scores every text.
 
-Everything that is learned from labels comes from at most ``max_labelled`` labelled training documents (those
-with the smallest id hashes); the classifier is applied to whole texts of every document.
+Voters don't abstain: one without a hit votes clean, and its two rates say how much that means. Accuracies are the
+model's own estimates of how often a voter agrees with the class.
+
+Everything that is learned from labels comes from at most ``max_labelled`` labelled training ids (those
+with the smallest hashes), an id by one text (the one with the least crc32); the classifier is applied to whole texts
+of every document.
 
 Defined results: null and empty texts score as texts without any feature; null labels and labels of documents
-that aren't there teach nothing; without toxic examples every score is the base rate. Repeated rows score
-alike. Only the columns named are read.
+that aren't there teach nothing, of an id's conflicting labels the higher counts; without toxic examples every score is
+the base rate. Repeated rows score alike. Only the columns named are read, so extra columns may clash freely.
 """
 
 from __future__ import annotations
@@ -32,11 +36,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
+from tabwright.llm.common import cut, labelled_texts
+
 VOTERS = 6
 DENSE = 0.006
 KINDS = "w45d"
 EDGES = ".,;:!?\"'()[]{}<>|*#$%&-_=+/\\"
 PATTERNS = ("shouting", "repeated_marks", "table", "address", "digits")
+CAPITALS = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _MARKS = re.compile(r"[!?$%&*#]{2}")
 
 
@@ -54,9 +61,9 @@ def word_terms(token: str) -> list[str]:
 
 
 def pattern_votes(text: str) -> list[bool]:
-    letters = len(text) or 1
-    upper = sum(map(text.count, "AEIOU")) / letters
-    return [upper > 0.1, _MARKS.search(text) is not None, " | " in text, "@" in text, sum(map(text.count, "0123456789")) > 4]
+    raw = text.encode("utf-8", "surrogatepass")
+    capitals = len(raw) - len(raw.translate(None, CAPITALS))
+    return [capitals > 0.25 * len(text), _MARKS.search(text) is not None, " | " in text, "@" in text, sum(map(text.count, "0123456789")) > 4]
 
 
 @dataclass
@@ -100,7 +107,7 @@ def _term_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     import xxhash
 
     for batch in batches:
-        terms, toxics, places = [], [], []
+        found: dict[tuple[str, int, int], None] = {}
         for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             words = (text or "").lower().split()
             first: dict[str, int] = {}
@@ -114,20 +121,17 @@ def _term_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for term, (c, i) in counts.items():
                 place = xxhash.xxh32_intdigest(" ".join(words[max(0, i - 1) : i + 2]))
                 for t in (term, "d" + term) if _is_dense(c, len(words)) else (term,):
-                    terms.append(t)
-                    toxics.append(toxic)
-                    places.append(place)
+                    found[t, toxic, place] = None  # copies in a batch send a neighbourhood once
+        terms, toxics, places = zip(*found, strict=True) if found else ((), (), ())
         yield pa.RecordBatch.from_arrays([pa.array(terms, pa.string()), pa.array(toxics, pa.int32()), pa.array(places, pa.int64())], names=["term", "toxic", "place"])
 
 
-def label_model(votes: np.ndarray, prior: float, rounds: int = 50) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def label_model(votes: np.ndarray, rounds: int = 50) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """votes (documents x voters, 0/1) -> posterior of class 1, accuracies, correlations within the classes."""
     n, k = votes.shape
-    rate = np.stack([np.full(k, 0.02), np.full(k, 0.5)])
     # Voters start as if each were somewhat right; fitting decides.
     posterior = np.clip(votes.mean(1) / max(votes.mean(1).max(), 1e-9), 0.01, 0.99) * 0.9
     say = np.ones(k)
-    base = prior
     corr = np.zeros((k, k))
     for turn in range(rounds):
         mass = np.stack([1 - posterior, posterior])
@@ -143,8 +147,7 @@ def label_model(votes: np.ndarray, prior: float, rounds: int = 50) -> tuple[np.n
         off = np.log((1 - rate[1]) / (1 - rate[0])) * say
         odds = np.log(base / (1 - base)) + votes @ on + (1 - votes) @ off
         posterior = 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
-    hard = posterior > 0.5
-    return posterior, (votes.astype(bool) == hard[:, None]).mean(0), corr
+    return posterior, (posterior @ votes + (1 - posterior) @ (1 - votes)) / n, corr
 
 
 def logistic(rows: list[list[int]], labels: np.ndarray, width: int, steps: int = 300, ridge: float = 1e-4) -> tuple[np.ndarray, float]:
@@ -164,14 +167,13 @@ def logistic(rows: list[list[int]], labels: np.ndarray, width: int, steps: int =
     return w, b
 
 
-def fit(documents: DataFrame, labels: DataFrame, max_labelled: int = 20_000, max_terms: int = 2_000, min_places: int = 4) -> Model:
+def fit(documents: DataFrame, labels: DataFrame, max_labelled: int = 20_000, min_places: int = 4) -> Model:
     """documents(doc_id, text) and labels(doc_id, toxic), of training rows alone -> a model.
 
-    ``max_labelled`` bounds what is learned from, ``max_terms`` the lexicons, and so what the driver collects.
+    ``max_labelled`` bounds what is learned from, and so what the driver collects: features of as many texts and their
+    terms of at least ``min_places`` neighbourhoods in toxic ones.
     """
-    chosen = labels.where("toxic is not null").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
-    chosen = chosen.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labelled)
-    sample = documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # at most max_labelled ids
+    sample = cut(labelled_texts(documents, labels, "toxic", max_labelled))
     count = {int(r["toxic"]): r["n"] for r in sample.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     n1, n0 = count.get(1, 0), count.get(0, 0)
     model = Model(bias=float(np.log((n1 + 0.5) / (n0 + 9.5))))
@@ -181,7 +183,7 @@ def fit(documents: DataFrame, labels: DataFrame, max_labelled: int = 20_000, max
     places = rows.groupBy("term", "toxic", "place").agg(F.lit(1).alias("one"))
     counted = places.groupBy("term").agg(F.sum("toxic").alias("bad"), F.sum(1 - F.col("toxic")).alias("good"))
     lift = F.log((F.col("bad") + 0.5) / (n1 + 1)) - F.log((F.col("good") + 0.5) / (n0 + 1))
-    kept = counted.where((F.col("bad") >= min_places) & (lift > 2.0)).orderBy(F.desc(F.col("bad") * lift), "term").limit(max_terms)
+    kept = counted.where((F.col("bad") >= min_places) & (lift > 2.0)).orderBy(F.desc(F.col("bad") * lift), "term")
     listed = kept.select("term").collect()
     model.terms = {r["term"]: i for i, r in enumerate(listed)}
     terms = model.terms
@@ -197,7 +199,7 @@ def fit(documents: DataFrame, labels: DataFrame, max_labelled: int = 20_000, max
     votes = np.zeros((len(hits), len(KINDS) * VOTERS + len(PATTERNS)))
     for i, row in enumerate(hits):
         votes[i, voter_of[row]] = 1
-    posterior, accuracy, corr = label_model(votes, n1 / (n1 + n0))
+    posterior, accuracy, corr = label_model(votes)
     model.accuracies, model.correlations = accuracy.tolist(), corr.round(3).tolist()
     model.weights, model.bias = logistic(hits, posterior, width)
     assert len(model.weights) == n + len(PATTERNS)

@@ -135,7 +135,7 @@ def test_label_model_finds_accuracies():
     truth = draw.random(4000) < 0.2
     votes = np.stack([np.where(draw.random(4000) < a, truth, draw.random(4000) < 0.05) for a in (0.9, 0.8, 0.7, 0.6)], 1).astype(float)
     votes = np.concatenate([votes, votes[:, :1]], 1)  # a voter that copies another
-    posterior, accuracy, corr = toxicity.label_model(votes, 0.2)
+    posterior, accuracy, corr = toxicity.label_model(votes)
     assert ((posterior > 0.5) == truth).mean() > 0.93
     assert corr[0, 4] > 0.9 and accuracy[0] > accuracy[3]
 
