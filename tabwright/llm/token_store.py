@@ -4,14 +4,16 @@ Every text is encoded and ends with an end id. A rolling hash over the last ``WI
 into chunks (about ``AVERAGE`` ids; MIN to MAX). A chunk's address is the hash of its bytes, and chunks are
 stored once. A document's recipe lists its chunks' addresses and lengths, with their Merkle root; recipes are
 written in ascending id order with the number of ids before each document, and Merkle nodes over runs of
-recipes up to one root for each part make the manifest.
+recipes up to one root for each part, and over the parts up to one root for the store, make the manifest. Reading checks
+all of it: chunks against their addresses, recipes against their roots, the recipes' order against the manifest.
 
 Layout under a folder: ``objects/kind=0`` chunks (address, payload of little-endian ids), ``objects/kind=1``
 recipes as they were made, ``recipes`` the same in order (part, doc_id, slot, start, n_tokens, addresses,
-lengths, root), ``manifest`` (part, level, node, root).
+lengths, root), ``manifest`` (part, level, node, root; part -1 stands over the parts).
 
 Defined results: a null or empty text holds the end id alone; null ids come first; repeated rows have a recipe
-each; an empty table makes an empty store. Only the columns named are read.
+each, and a range of the order may end between rows of one id; an empty table makes an empty store. Files that don't fit
+each other raise. Only the columns named are read, so extra columns may clash freely.
 """
 
 from __future__ import annotations
@@ -20,6 +22,7 @@ import hashlib
 import itertools
 import zlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -165,7 +168,7 @@ def write_store(documents: DataFrame, folder: str, vocabulary: str, end_id: int
     n_tokens = F.aggregate("lengths", F.lit(0).cast("long"), lambda s, n: s + n)
     order = ["doc_id", "n_tokens", "root", "key"]
     recipes = recipes.select("doc_id", n_tokens.alias("n_tokens"), "key", "addresses", "lengths", "root")
-    ordered = recipes.repartitionByRange("doc_id").sortWithinPartitions(*order)
+    ordered = recipes.repartitionByRange(*order).sortWithinPartitions(*order)
     ordered.withColumn("part", F.spark_partition_id()).write.option("compression", "zstd").parquet(f"{folder}/unnumbered")
     parts = spark.read.parquet(f"{folder}/unnumbered")
     sums = parts.groupBy("part").agg(F.sum("n_tokens").alias("ids"))
@@ -179,19 +182,33 @@ def write_store(documents: DataFrame, folder: str, vocabulary: str, end_id: int
 
 
 def manifest(spark: SparkSession, folder: str, fan: int = 256) -> DataFrame:
-    """Merkle nodes over runs of ``fan`` recipes, level by level up to one root for each part."""
-    level = spark.read.parquet(f"{folder}/recipes").select("part", F.col("slot").cast("long").alias("node"), F.hex("root").alias("root"))
-    levels = []
-    for depth in range(1, 5):  # 256 ** 4 recipes in a part at most
-        kids = F.array_sort(F.collect_list(F.struct("node", "root")))
-        level = level.groupBy("part", F.expr(f"node div {fan}").alias("node_up")).agg(F.sha2(F.array_join(F.transform(kids, lambda x: x["root"]), ""), 256).alias("root"))
-        level = level.withColumnRenamed("node_up", "node")
-        level = cut(level)
-        levels.append(level.select("part", F.lit(depth).alias("level"), "node", "root"))
-    out = levels[0]
-    for more in levels[1:]:
-        out = out.unionByName(more)
-    return out
+    """part, level, node, root: Merkle nodes over runs of ``fan`` recipes, level by level up to one root for each part, then
+    over runs of parts (as part -1) up to one root for the store."""
+    recipes = spark.read.parquet(f"{folder}/recipes")
+    last = recipes.agg(F.coalesce(F.max("slot"), F.lit(0)).cast("long").alias("slot"), F.coalesce(F.max("part"), F.lit(0)).cast("long").alias("part")).first()
+    levels: list[DataFrame] = []
+
+    def climb(level: DataFrame, top: int) -> DataFrame:
+        """Nodes numbered 0 .. top in each part, up to one node."""
+        depth = 0
+        while not depth or top:
+            kids = F.array_sort(F.collect_list(F.struct("node", "root")))  # ``fan`` at most
+            level = level.groupBy("part", F.expr(f"node div {fan}").alias("up")).agg(F.sha2(F.array_join(F.transform(kids, lambda x: x["root"]), ""), 256).alias("root"))
+            level = cut(level.withColumnRenamed("up", "node"))
+            depth, top = depth + 1, top // fan
+            levels.append(level.select("part", F.lit(depth).alias("level"), "node", "root"))
+        return level
+
+    roots = climb(recipes.select(F.col("part").cast("long"), F.col("slot").cast("long").alias("node"), F.hex("root").alias("root")), last["slot"])
+    climb(roots.select(F.lit(-1).cast("long").alias("part"), F.col("part").alias("node"), "root"), last["part"])
+    return reduce(DataFrame.unionByName, levels)
+
+
+def check_manifest(spark: SparkSession, folder: str) -> None:
+    """Raises unless the manifest is that of the recipes in their order."""
+    stored, made = spark.read.parquet(f"{folder}/manifest"), manifest(spark, folder)
+    if not stored.exceptAll(made).unionByName(made.exceptAll(stored)).isEmpty():
+        raise ValueError(f"the recipes in {folder} aren't those of its manifest")
 
 
 def chunks(spark: SparkSession, folder: str) -> DataFrame:
@@ -210,6 +227,24 @@ def _checked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(crcs, pa.int64())], names=["address", "crc"])
 
 
+def _checked_recipes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """start, n_tokens, addresses, lengths, root -> start, address, after: a row for each chunk, with the bytes that follow it
+    in its document. The root has to fit the addresses, the lengths their sum."""
+    for batch in batches:
+        n = batch.num_rows
+        for low in range(0, n, 2000):
+            starts, found, after = [], [], []
+            for start, tokens, addresses, lengths, root in zip(*[c.to_pylist() for c in batch.slice(low, 2000).columns], strict=True):
+                if merkle(addresses) != root or sum(lengths) != tokens or len(lengths) != len(addresses):
+                    raise ValueError(f"the recipe at {start} has other chunks than its root says")
+                starts += [start] * len(addresses)
+                found += addresses
+                for size in lengths:
+                    tokens -= size
+                    after.append(4 * tokens)
+            yield pa.RecordBatch.from_arrays([pa.array(starts, pa.int64()), pa.array(found, pa.binary()), pa.array(after, pa.int64())], names=["start", "address", "after"])
+
+
 _SHIFTS: list[np.ndarray] = []
 
 
@@ -260,11 +295,11 @@ def _crc_part(crc, n_bytes):
 
 
 def read_index(spark: SparkSession, folder: str) -> DataFrame:
-    """From the files alone: doc_id, start, n_tokens, ids_crc32, root of every document."""
+    """From the files alone: doc_id, start, n_tokens, ids_crc32, root of every document. Raises, now or when it is computed, if
+    manifest, recipes and chunks don't fit each other."""
+    check_manifest(spark, folder)
     recipes = spark.read.parquet(f"{folder}/recipes")
-    parts = recipes.select("start", F.posexplode("addresses").alias("at", "address"), "lengths")
-    after = F.aggregate(F.slice("lengths", F.col("at") + 2, F.size("lengths")), F.lit(0).cast("long"), lambda s, n: s + n) * 4
-    parts = parts.select("start", "address", after.alias("after"))
+    parts = recipes.select("start", "n_tokens", "addresses", "lengths", "root").mapInArrow(_checked_recipes, "start long, address binary, after long")
     stored = chunks(spark, folder).mapInArrow(_checked, "address binary, crc long")
     crc = parts.join(stored, "address").groupBy("start").agg(F.bit_xor(_crc_part("crc", "after")).alias("ids_crc32"), F.count(F.lit(1)).alias("found"))
     whole = recipes.join(crc, "start", "left")

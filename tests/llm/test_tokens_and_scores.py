@@ -75,11 +75,64 @@ def test_store_round_trip(spark, library, tmp_path):
     stored = token_store.chunks(spark, folder).collect()
     assert len({r.address for r in stored}) == len(stored)
     assert sum(len(r.payload) for r in stored) // 2 < sum(map(len, ids.values())) * 0.75  # the long text's copies share chunks
-    roots = spark.read.parquet(folder + "/manifest").where("level = 4").count()
-    assert roots == spark.read.parquet(folder + "/recipes").select("part").distinct().count()
+    whole = spark.read.parquet(folder + "/manifest").where("part = -1")
+    assert whole.where(f"level = {whole.agg({'level': 'max'}).first()[0]}").count() == 1
     assert len({r.root for r in got if r.doc_id in (500, 501)}) == 1
 
 
+def test_manifest_climbs_to_one_root(spark, tmp_path):
+    frame = spark.createDataFrame([(i, "text %d" % i, None, None, 1) for i in range(300)], DOCS)
+    folder = str(tmp_path / "store")
+    token_store.write_store(frame, folder, PATH)
+    got = token_store.manifest(spark, folder, fan=3).collect()
+    sizes = {r["part"]: r.n for r in spark.read.parquet(folder + "/recipes").groupBy("part").agg({"slot": "count"}).toDF("part", "n").collect()} | {-1: len({r.part for r in got} - {-1})}
+    for part, n in sizes.items():
+        level = 0
+        while level == 0 or n > 1:
+            n, level = -(-n // 3), level + 1
+            assert len([r for r in got if (r.part, r.level) == (part, level)]) == n
+
+
+def _changed(spark, folder, name, change):
+    """The store's files ``name``, read, changed and written back."""
+    import shutil
+
+    change(spark.read.parquet(f"{folder}/{name}")).write.parquet(f"{folder}/changed")
+    shutil.rmtree(f"{folder}/{name}")
+    shutil.move(f"{folder}/changed", f"{folder}/{name}")
+
+
+@pytest.mark.parametrize("damage", ["recipe", "swapped", "manifest", "missing", "payload"])
+def test_damaged_stores_raise(spark, tmp_path, damage):
+    from pyspark.sql import functions as F
+
+    frame = spark.createDataFrame([(i, "some text %d" % i * 40, None, None, 1) for i in range(20)], DOCS)
+    folder = str(tmp_path / "store")
+    token_store.write_store(frame, folder, PATH)
+    assert token_store.read_index(spark, folder).count() == 20
+    if damage == "recipe":
+        _changed(spark, folder, "recipes", lambda r: r.withColumn("addresses", F.when(F.col("doc_id") == 3, F.reverse(F.concat("addresses", "addresses"))).otherwise(F.col("addresses"))))
+    elif damage == "swapped":  # two documents change their ids' places, each recipe whole in itself
+        _changed(spark, folder, "recipes", lambda r: r.withColumn("slot", F.when(F.col("slot") < 2, 1 - F.col("slot")).otherwise(F.col("slot"))))
+    elif damage == "manifest":
+        _changed(spark, folder, "manifest", lambda r: r.where("part != -1"))
+    elif damage == "missing":
+        _changed(spark, folder, "objects", lambda r: r.where("kind = 1 or payload is not null and crc32(key) % 2 = 0"))
+    else:
+        _changed(spark, folder, "objects", lambda r: r.withColumn("payload", F.when(F.col("kind") == 0, F.concat("payload", F.lit(b"\0\0")))))
+    with pytest.raises(Exception, match="manifest|recipe|chunk"):
+        token_store.read_index(spark, folder).collect()
+
+
+def test_store_with_clashing_columns_and_one_id(spark, library, tmp_path):
+    rows = [(7, "text %d" % i, i, "s", "m") for i in range(400)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, start int, root string, key string").repartition(5)
+    token_store.write_store(frame, str(tmp_path / "s"), PATH)
+    got = token_store.read_index(spark, str(tmp_path / "s")).collect()
+    want = [zlib.crc32(np.array([*library.encode(r[1], add_special_tokens=False).ids, 0], "<u4").tobytes()) for r in rows]
+    assert sorted(r.ids_crc32 for r in got) == sorted(want) and {r.doc_id for r in got} == {7}
+
+
 def test_empty_store(spark, tmp_path):
     token_store.write_store(spark.createDataFrame([], DOCS), str(tmp_path / "s"), PATH)
     assert token_store.read_index(spark, str(tmp_path / "s")).collect() == []
@@ -146,3 +199,24 @@ def test_top_word_is_the_most_frequent_one_in_any_order():
     words = ["w%d" % i for i in range(85)] + ["junk"] * 15
     at = FEATURES.index("top_word")
     assert features(" ".join(words))[at] == features(" ".join(words[::-1]))[at] == 0.15
+
+
+def test_labelled_texts_are_bounded_by_ids(spark):
+    from tabwright.llm.common import labelled_texts
+
+    documents = spark.createDataFrame([(1, "copy %d" % (i % 3)) for i in range(3000)] + [(2, None), (None, "x")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 0), (1, 1), (2, 0), (None, 1), (3, 1), (4, None)], "doc_id long, toxic int")
+    got = sorted(tuple(r) for r in labelled_texts(documents, labels, "toxic", 10).collect())
+    assert got == [("", 0), (min(("copy %d" % i for i in range(3)), key=lambda t: zlib.crc32(t.encode())), 1)]
+
+
+def test_classifiers_with_long_texts_and_clashing_columns(spark):
+    documents, labels = corpus(spark, True)
+    documents = documents.selectExpr("*", "1 as label", "'x' as score", "2 as toxic", "3 as quality", "'t' as term").union(documents.limit(1).selectExpr("77777L", "repeat('word vilest ', 60000)", "lang", "source", "n_chars", "1", "'x'", "2", "3", "'t'"))
+    model = toxicity.fit(documents, labels)
+    got = {r.doc_id: r.score for r in toxicity.score(documents, model).collect()}
+    assert len(got) == 803 and got[77777] >= 0.7
+    ranked = quality_ranking.score(documents, quality_ranking.fit(documents, labels))
+    assert ranked.columns == ["doc_id", "score"] and ranked.count() == 804
+    none = documents.where("doc_id < 0")
+    assert quality_ranking.score(none, quality_ranking.fit(none, labels)).collect() == []
