@@ -1,27 +1,30 @@
-"""Exact repeats of ``length`` bytes by distributed prefix doubling, thinned and with names for ranks.
+"""Exact repeats of ``length`` bytes by distributed prefix doubling over thinned positions.
 
 Plain prefix doubling sorts a (position, rank) pair for every byte in every round, some twenty bytes of shuffle
-for each byte of text. Here ranks are names (fingerprints of what follows a position), positions are thinned
-so that no repeat is lost, and two growing lengths are ranked:
+for each byte of text. Here the first round, over the cluster, ranks positions that are thinned so that no
+repeat is lost, and the later rounds go on with what it leaves:
 
 1. Of the ``GRAM``-byte strings in a window of ``length`` bytes, the one with the least name is its anchor.
    Equal windows have equal anchors, at the same offset. Neighbouring windows that share an anchor are a run,
    and the bytes under a run are its context. A position with its names (anchor, context) stands for a run:
    one for some 32 bytes of text.
-2. Pairs are dealt out by the anchor's name and sorted. A name that stands once is unique and done. Of the runs
-   with equal contexts the first one stays and all windows of the others are repeats: past the threshold.
+2. Spark deals the (position, rank) pairs out by rank, the anchor's name, and sorts them. A rank that stands once is
+   unique and done. Of the runs with equal contexts the first one stays and all windows of the others are repeats.
 3. First runs whose anchor also has other contexts may share single windows with those. Their contexts are
-   read again, every window of them is named, and all but the first of equal windows are repeats.
+   read again and dealt out by rank, and the windows' positions are ranked by doubling: bytes at 8 bytes, then pairs
+   (rank, rank at the offset) at the offsets 8, 16, 32 .. and last ``length`` less the length reached. After each round
+   a position whose rank is unique drops out with its pairs; at ``length`` all but the first of a rank are repeats. These
+   ranks are exact: no fingerprint stands for bytes.
 
 Within a batch of documents equal contexts (and windows) are settled before anything is sent, so a string that
-many documents hold leaves a batch once. Anchors with more than ``crowd`` contexts are settled by the windows'
-own names. Names have 128 bits.
+many documents hold leaves a batch once. Windows of anchors with more than ``crowd`` contexts are dealt out by their own
+digests. Anchors only bring together what may be equal; contexts are equal by anchor and a 64-bit keyed digest.
 
 Windows are in order of (doc_id, start); null ids come first. A byte is removed if a repeat covers it.
 
 Defined results: null and empty texts have no bytes; texts shorter than ``length`` keep all; rows with equal ids
 and equal texts are one document (each gets what it keeps); rows with equal ids and other texts are
-ordered by their crc32; empty tables give empty results. Only the columns named are read.
+ordered by their crc32; empty tables give empty results. Only the columns named are read, so extra columns may clash freely.
 """
 
 from __future__ import annotations
@@ -75,11 +78,6 @@ class Names:
         with np.errstate(over="ignore"):
             return mix((self.sums[size:] - self.sums[:-size]) * self.down[: len(self.sums) - size])
 
-    def some(self, low: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-        """Names of the substrings [low, low + size)."""
-        with np.errstate(over="ignore"):
-            return mix((self.sums[low + sizes] - self.sums[low]) * self.down[low] + sizes.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-
 
 def sliding_least(keys: np.ndarray, width: int) -> np.ndarray:
     """The least of each ``width`` neighbours, by doubling."""
@@ -110,8 +108,9 @@ def runs(data: np.ndarray, bounds: np.ndarray, length: int) -> tuple[np.ndarray,
     size = np.diff(np.append(low, n))
     ok = inside[low]
     low, size = low[ok], size[ok]
-    context = Names(data, 1).some(low, size + (length - 1))
-    return text[low], low, size, gram[anchor[low]], context
+    raw, ends = memoryview(data), low + size + (length - 1)
+    digests = b"".join(hashlib.blake2b(raw[i:j], digest_size=8, key=b"context").digest() for i, j in zip(low.tolist(), ends.tolist(), strict=True))
+    return text[low], low, size, gram[anchor[low]], np.frombuffer(digests, np.uint64)
 
 
 def _grouped(ids: list, texts: list) -> Iterator[tuple[np.ndarray, np.ndarray, list[bytes]]]:
@@ -239,16 +238,57 @@ def first_windows(data: bytes, sizes: np.ndarray, order: np.ndarray, length: int
     counts = sizes - (length - 1)
     owner = np.repeat(np.arange(len(sizes)), counts)
     window = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
-    at = starts[owner] + window
-    width = np.full(len(at), length)
-    one, two = Names(array, 2).some(at, width), Names(array, 3).some(at, width)
-    by_place = np.lexsort((window, order[owner]))
-    by_name = by_place[np.lexsort((two[by_place], one[by_place]))]  # lexsort is stable: equal names stay by place
-    again = np.zeros(len(at), bool)
-    again[by_name[1:]] = (one[by_name[1:]] == one[by_name[:-1]]) & (two[by_name[1:]] == two[by_name[:-1]])
+    left = rank_by_doubling(array, starts[owner] + window, length)
+    again = np.zeros(len(owner), bool)
+    at, rank = left
+    by_place = np.lexsort((window[at], order[owner[at]], rank))
+    same = rank[by_place[1:]] == rank[by_place[:-1]]
+    again[at[by_place[1:][same]]] = True
     return owner, window, again
 
 
+def _ranks(keys: np.ndarray) -> np.ndarray:
+    """Numbers of the keys in order, equal for equal keys."""
+    order = np.argsort(keys)
+    listed = keys[order]
+    out = np.zeros(len(keys), np.int64)
+    out[order[1:]] = np.cumsum(listed[1:] != listed[:-1])
+    return out
+
+
+def _surviving(rank: np.ndarray) -> np.ndarray:
+    """Whether another position has the same rank."""
+    return (np.bincount(rank) > 1)[rank] if len(rank) else np.zeros(0, bool)
+
+
+def rank_by_doubling(data: np.ndarray, windows: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Windows of ``length`` bytes that start at ``windows`` -> those that aren't unique (by number), and their ranks.
+
+    A round pairs each position's rank with the rank one offset on and ranks the pairs. Positions are needed
+    while a surviving window still reaches over them.
+    """
+    alive = np.arange(len(windows))
+    padded = np.concatenate([data, np.zeros(8, np.uint8)]).astype(np.uint64)
+    keys = np.zeros(len(data), np.uint64)
+    for k in range(8):
+        keys = (keys << np.uint64(8)) | padded[k : k + len(data)]
+    rank, reach = _ranks(keys), 8  # of every position
+    alive = alive[_surviving(rank[windows])]
+    while len(alive) and reach < length:
+        step = min(reach, length - reach)
+        # The positions over which the next rounds still pair: all that a surviving window covers.
+        start = windows[alive]
+        ends = start + (length - reach - step) + 1
+        cover = np.cumsum(np.bincount(start, minlength=len(data) + 1) - np.bincount(ends, minlength=len(data) + 1))
+        at = np.flatnonzero(cover > 0)
+        pair = rank[at] * np.int64(int(rank.max()) + 1) + rank[at + step]
+        now = np.full(len(data), -1, np.int64)
+        now[at] = _ranks(pair)
+        rank, reach = now, reach + step
+        alive = alive[_surviving(rank[windows[alive]])]
+    return alive, rank[windows[alive]]
+
+
 def _span_list(doc_id: np.ndarray, tie: np.ndarray, low: np.ndarray, owner: np.ndarray, window: np.ndarray, again: np.ndarray) -> dict[str, np.ndarray]:
     """Repeats among windows as spans of neighbours."""
     at = np.flatnonzero(again)

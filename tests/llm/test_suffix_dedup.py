@@ -3,9 +3,10 @@
 import random
 import zlib
 
+import numpy as np
 import pytest
 
-from tabwright.llm.suffix_dedup import remove_repeats
+from tabwright.llm.suffix_dedup import rank_by_doubling, remove_repeats
 
 DOCS = "doc_id long, text string, low string, n int"
 
@@ -75,3 +76,27 @@ def test_empty_and_alike(spark):
     assert remove_repeats(spark.createDataFrame([], DOCS)).collect() == []
     got = remove_repeats(spark.createDataFrame([(1, "short", None, None), (2, "short", None, None), (3, None, None, None)], DOCS)).collect()
     assert sorted((r.doc_id, r.n_bytes, r.removed, bytes(r.kept)) for r in got) == [(1, 5, [], b"short"), (2, 5, [], b"short"), (3, 0, [], b"")]
+
+
+def test_long_lengths_of_strings_that_defeat_polynomial_names(spark):
+    """A Thue-Morse string and its complement have equal polynomial hashes modulo any power of two."""
+    bits = [bin(i).count("1") & 1 for i in range(2048)]
+    one, two = ("".join("ab"[b ^ flip] for b in bits) for flip in (0, 1))
+    rows = [(1, one), (2, "x" + two), (3, "y" + one[:1500] + "z" + two[300:])]
+    got = remove_repeats(spark.createDataFrame([(i, t, "x", 1) for i, t in rows], DOCS), length=1024).collect()
+    want = brute(rows, 1024)
+    assert sorted((r.doc_id, r.n_bytes, [(s.start, s.end) for s in r.removed], bytes(r.kept)) for r in got) == sorted((i, *want[i, t.encode()]) for i, t in rows)
+
+
+@pytest.mark.parametrize("length", [8, 13, 40, 100])
+def test_doubling_ranks_equal_strings_alike(length):
+    draw = np.random.default_rng(length)
+    data = np.frombuffer(bytes(draw.integers(97, 99, 400).tolist()) + b"ab" * 150 + b"c" * 130, np.uint8)
+    starts = np.sort(draw.choice(len(data) - length + 1, 300, replace=False))
+    alive, rank = rank_by_doubling(data, starts, length)
+    strings = [data[s : s + length].tobytes() for s in starts]
+    assert sorted(alive.tolist()) == [i for i, x in enumerate(strings) if strings.count(x) > 1]
+    by_rank = {}
+    for i, r in zip(alive.tolist(), rank.tolist(), strict=True):
+        by_rank.setdefault(r, set()).add(strings[i])
+    assert all(len(x) == 1 for x in by_rank.values()) and len(by_rank) == len({strings[i] for i in alive})
