@@ -25,6 +25,20 @@ def in_blocks(rows: DataFrame, key: list[str], member: Column, block: int) -> Da
     return dealt.select("*", F.least("own_block", "other").alias("left"), F.greatest("own_block", "other").alias("right")).drop("other", "group_rows")
 
 
+def across_parts(rows: DataFrame, key: list[str], part: str, member: Column, block: int) -> DataFrame:
+    """As ``in_blocks``, for groups whose rows are compared with those of other ``part``s alone: rows of a group's largest
+    part don't meet each other, so that a group that is nearly one part isn't dealt out in all its pairs of blocks."""
+    sizes = rows.groupBy(*key, part).agg(F.count(F.lit(1)).alias("n"))
+    groups = sizes.groupBy(*key).agg(F.max(F.struct("n", part)).alias("main"), F.sum("n").alias("all_rows"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
+    met = rows.join(groups, key)
+    is_main = F.col(part) == F.col(f"main.{part}")
+    mains, others = (F.ceil(n / block).cast("int") for n in (F.col("main.n"), F.col("all_rows") - F.col("main.n")))
+    own = F.when(is_main, others + F.pmod(F.xxhash64(member), mains)).otherwise(F.pmod(F.xxhash64(member), others)).cast("int")
+    last = F.when(is_main, others).otherwise(others + mains) - 1
+    dealt = met.withColumn("own_block", own).withColumn("other", F.explode(F.sequence(F.lit(0), last)))
+    return dealt.select("*", F.least("own_block", "other").alias("left"), F.greatest("own_block", "other").alias("right")).drop("other", "main", "all_rows", "parts")
+
+
 def per_group(rows: DataFrame, key: list[str], work: Callable[[pa.Table], dict[str, list] | None], schema: str, arrow: pa.Schema) -> DataFrame:
     """Deal rows out by key, sort, and call ``work`` on each key's rows; groups may run over Arrow batches.
 

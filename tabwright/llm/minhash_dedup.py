@@ -11,7 +11,7 @@ Equal word sequences are one class. Classes whose registers agree in a whole ban
 1. In each bucket all classes are compared with its pivot, the class with the least document.
 2. What is linked so far is joined. In each bucket that still holds several components, every two classes of
    different components whose registers agree to the threshold less three standard deviations are compared, in
-   blocks. A pair that shares several buckets is compared in that of its first band. Where a block pair links two
+   blocks; the largest component's classes meet those of the others, not each other. A pair that shares several buckets is compared in that of its first band. Where a block pair links two
    components, they are one for the rest of it, and only the links leave it.
 
 A comparison computes the exact probability Jaccard similarity of whole texts; a link needs ``threshold``.
@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from tabwright.llm.common import cut
 from tabwright.llm.components import components
 from tabwright.llm.encoding import text_groups
-from tabwright.llm.grouped import in_blocks, per_group
+from tabwright.llm.grouped import across_parts, per_group
 from tabwright.llm.words import WordTable, mix, window_hashes
 
 SHINGLE = 5
@@ -252,7 +252,7 @@ def _links(threshold: float, floor: float):
     return work
 
 
-def near_duplicates(documents: DataFrame, threshold: float = 0.8, block: int = 256, wide: int = 2048, broadcast_ids: int = 500_000) -> DataFrame:
+def near_duplicates(documents: DataFrame, threshold: float = 0.8, block: int = 256, broadcast_ids: int = 500_000) -> DataFrame:
     """documents(doc_id, text) -> doc_id, text_crc (crc32 of the text), class_id, kept, exact_copies (rows of the same words).
 
     kept: the one of the class with the least id, null ids last, and of equal ids the least crc32. Rows alike in both
@@ -301,12 +301,12 @@ def near_duplicates(documents: DataFrame, threshold: float = 0.8, block: int = 2
     apart = cut(placed.join(several, "bucket"))
     if not apart.isEmpty():
         signs, key = classes.select("digest", "bands", "registers"), ["bucket", "left", "right"]
-        dealt = in_blocks(apart, ["bucket"], F.col("digest"), wide).join(signs, "digest")
+        dealt = across_parts(apart, ["bucket"], "component", F.col("digest"), block).join(signs, "digest")
         fields = pa.schema([("bucket", pa.int64()), ("digest", pa.binary()), ("component", pa.binary())])
         # Shingles go only to the buckets where a class has something to be compared with.
         left = cut(per_group(dealt, key, _open(floor), "bucket long, digest binary, component binary", fields).distinct())
         shingles = shingles_of(left.select("digest").distinct())
-        dealt = in_blocks(left, ["bucket"], F.col("digest"), block).join(signs, "digest").join(shingles, "digest")
+        dealt = across_parts(left, ["bucket"], "component", F.col("digest"), block).join(signs, "digest").join(shingles, "digest")
         fields = pa.schema([("a", pa.binary()), ("b", pa.binary())])
         linked = cut(per_group(dealt, key, _links(threshold, floor), "a binary, b binary", fields).distinct())
         # What is joined already stands for its edges.
