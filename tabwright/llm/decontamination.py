@@ -3,17 +3,22 @@
 A text becomes a template: numbers, quantities, units after numbers and names (capitals inside a sentence) turn
 into typed placeholders, other words lose case and outer marks. Neighbouring numbers, neighbouring names, and a number and
 its unit are one placeholder, so that values of more or fewer words keep their place. A capital that begins a sentence has
-two readings, a plain word and a name (a name if names follow it); windows over such are hashed in both, all of
-a window's alike. Windows of ``WINDOW`` template words of all
+two readings, a plain word and a name (a name if names follow it), and so has a word in capitals that stands alone;
+windows over such are hashed in both, all of a window's alike. Windows of ``WINDOW`` template words of all
 documents are hash-joined with those of the benchmark. Hits of a document and an item line up on diagonals
 (word place less item place); a diagonal is a leak if
 
 * its hits cover ``coverage`` of the item's windows, or a run of at least ``run_words`` words in a row,
 * counting only windows whose slots are consistent: a value in an item's slots stands for itself where it does so
   anywhere, else for the value that it stands for in more than half of its slots; slots with another value, and
-  all slots of a value without such a meaning, take the windows over them out. A run also counts if it is
+  all slots of a value without such a meaning, take the windows over them out. Names have to be told apart in the
+  document too; two numbers may be equal there. A run also counts if it is
   consistent for itself. Equal values make a ``verbatim`` leak, others a ``reparameterised`` one.
 
+Where no diagonal is one, diagonals at most ``gap`` words apart are chained, for words put in or left out: the windows over
+the places where the chain changes its diagonal aren't expected, and its windows have to cover ``coverage`` of the item's
+words too.
+
 The benchmark's windows are broadcast as sorted arrays in slices of at most ``slice_windows`` windows (16 bytes
 each), so what a task holds is bounded whatever the benchmark's size; each slice reads the documents once.
 
@@ -42,7 +47,7 @@ UNITS = frozenset("mm cm m km in ft yd mi inch inches foot feet yard yards mile
 NUMBERS = frozenset("zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen twenty thirty forty fifty sixty seventy eighty ninety hundred thousand million billion".split())
 _NUMBER = re.compile(r"[+\-−]?[$€£]?\d[\d.,:/]*%?(?:st|nd|rd|th)?$")
 _QUANTITY = re.compile(r"[+\-−]?\d[\d.,]*([a-z°]+)$")
-LITERAL, NUMBER, QUANTITY, UNIT, CAPITAL = range(5)
+LITERAL, NUMBER, QUANTITY, UNIT, CAPITAL, SHOUT = range(6)
 ENDS = 8  # added to a fact: the token ends a sentence
 _SLOTS = {NUMBER: "<number>", QUANTITY: "<quantity>", UNIT: "<unit>", CAPITAL: "<name>"}
 _RESULT = "doc_id long, text_crc long, item_id long, kind string, n_windows int, coverage double, run_words int, start_word int, end_word int"
@@ -61,6 +66,8 @@ def describe(token: str) -> tuple[str, int]:
         return low, QUANTITY + ends
     if low in UNITS:
         return low, UNIT + ends
+    if bare.isupper() and len(bare) > 1:
+        return low, SHOUT + ends
     return low, (CAPITAL if bare[:1].isupper() and not bare.isupper() else LITERAL) + ends
 
 
@@ -80,11 +87,16 @@ def template(hashes: np.ndarray, facts: np.ndarray, starts: np.ndarray) -> tuple
     fresh = np.zeros(len(facts), bool)
     fresh[1:] = facts[:-1] >= ENDS
     fresh[starts[starts < len(facts)]] = True
+    shout = kinds == SHOUT
+    alone = shout.copy()
+    alone[1:] &= ~shout[:-1]
+    alone[:-1] &= ~shout[1:]
+    kinds = np.where(shout, np.where(alone, CAPITAL, LITERAL), kinds)
     after_number = np.zeros(len(facts), bool)
     after_number[1:] = (kinds[:-1] == NUMBER) & ~fresh[1:]
     kinds = np.where((kinds == UNIT) & ~after_number, LITERAL, kinds)
     folded = np.zeros(len(facts), bool)
-    folded[1:] = ~fresh[1:] & (kinds[1:] == kinds[:-1]) & ((kinds[1:] == NUMBER) | (kinds[1:] == CAPITAL))
+    folded[1:] = ~fresh[1:] & (kinds[1:] == kinds[:-1]) & ((kinds[1:] == NUMBER) | ((kinds[1:] == CAPITAL) & ~alone[1:] & ~alone[:-1]))
     folded |= kinds == UNIT
     at = np.flatnonzero(~folded)
     if not len(at):
@@ -104,7 +116,7 @@ def template(hashes: np.ndarray, facts: np.ndarray, starts: np.ndarray) -> tuple
     for kind in _SLOTS:
         named[own == kind] = slot_hash(kind)
     out = named.copy()
-    first = np.flatnonzero((own == CAPITAL) & fresh[at])
+    first = np.flatnonzero((own == CAPITAL) & (fresh[at] | alone[at]))
     with np.errstate(over="ignore"):
         out[first] = hashes[at[first]] + np.where(sizes[first] > 1, slot_hash(CAPITAL), np.uint64(0))
     return out, named, own, values, at
@@ -174,23 +186,30 @@ class Index:
         return np.repeat(at, times), rows
 
 
-def _consistent(places: np.ndarray, length: int, slot: np.ndarray, mine: np.ndarray, theirs: np.ndarray) -> np.ndarray:
-    """Those of the windows (their places in the item) that lie over no inconsistent slot. slot, mine, theirs: of each of
-    the item's words, whether it is a slot, its value, and the document's value on the diagonal."""
-    covered = np.zeros(len(mine), bool)
-    for k in range(length):
-        covered[places + k] = True
+def _unlike(mine: list[int], theirs: list[int]) -> list[bool]:
+    """Of slots with these values, whether a slot's other value isn't what its value stands for."""
     meant: dict[int, dict[int, int]] = {}
-    at = np.flatnonzero(covered & slot)
-    for a, b in zip(mine[at].tolist(), theirs[at].tolist(), strict=True):
-        meant.setdefault(a, {}).setdefault(b, 0)
-        meant[a][b] += 1
+    for a, b in zip(mine, theirs, strict=True):
+        seen = meant.setdefault(a, {})
+        seen[b] = seen.get(b, 0) + 1
     meaning = {}
     for a, seen in meant.items():
         best = a if a in seen else max(seen, key=seen.get)
         meaning[a] = best if best == a or 2 * seen[best] > sum(seen.values()) else None
+    return [meaning[a] != b for a, b in zip(mine, theirs, strict=True)]
+
+
+def _consistent(places: np.ndarray, length: int, slot: np.ndarray, name: np.ndarray, mine: np.ndarray, theirs: np.ndarray) -> np.ndarray:
+    """Those of the windows (their places in the item) that lie over no inconsistent slot. slot, name, mine, theirs: of each of
+    the item's words, whether it is a slot, a name, its value, and the document's value on the diagonal."""
+    covered = np.zeros(len(mine), bool)
+    for k in range(length):
+        covered[places + k] = True
     bad = np.zeros(len(mine) + 1, np.int64)
-    bad[at + 1] = [meaning[a] != b for a, b in zip(mine[at].tolist(), theirs[at].tolist(), strict=True)]
+    at = np.flatnonzero(covered & slot)
+    bad[at + 1] = _unlike(mine[at].tolist(), theirs[at].tolist())
+    at = np.flatnonzero(covered & name)
+    bad[at + 1] |= np.array(_unlike(theirs[at].tolist(), mine[at].tolist()), np.int64)
     before = np.cumsum(bad)
     return places[before[places + length] == before[places]]
 
@@ -203,7 +222,7 @@ def _longest(places: np.ndarray, length: int, word: np.ndarray) -> int:
     return int((word[places[ends] + length] - word[places[np.append(0, ends[:-1] + 1)]]).max())
 
 
-def _leaks(index: Index, coverage: float, run_words: int):
+def _leaks(index: Index, coverage: float, run_words: int, gap: int = 3):
     def group_leaks(doc_ids: list, texts: list[str], table: WordTable) -> Iterator[tuple]:
         words: list[str] = []
         starts: list[int] = []
@@ -259,11 +278,12 @@ def _leaks(index: Index, coverage: float, run_words: int):
                 steps = np.minimum(np.diff(index.starts[item]), np.diff(word)[span])
                 before = np.append(0, np.cumsum(steps))
                 every = place[low:high]
-                left = _consistent(every, length, slot, mine, theirs)
+                name = (index.kinds[item] == CAPITAL) & (kinds[span] == CAPITAL)
+                left = _consistent(every, length, slot, name, mine, theirs)
                 if len(left) / index.counts[item] < coverage and _longest(left, length, before) < run_words:
                     # What clashes with a run may lie elsewhere on the diagonal.
                     runs = [r for r in np.split(every, np.flatnonzero(np.diff(every) != 1) + 1) if _longest(r, length, before) >= run_words]
-                    left = max((_consistent(r, length, slot, mine, theirs) for r in runs), key=lambda r: _longest(r, length, before), default=every[:0])
+                    left = max((_consistent(r, length, slot, name, mine, theirs) for r in runs), key=lambda r: _longest(r, length, before), default=every[:0])
                     if _longest(left, length, before) < run_words:
                         continue
                 inside = np.unique(left[:, None] + np.arange(length))
@@ -272,13 +292,55 @@ def _leaks(index: Index, coverage: float, run_words: int):
                 found = (len(left), len(left) / index.counts[item], _longest(left, length, before), start, end, kind)
                 if (d, item) not in best or (found[0], -found[3]) > (best[d, item][0], -best[d, item][3]):
                     best[d, item] = found
+            # Chains of neighbouring diagonals.
+            apart = new.copy()
+            apart[1:] = (doc[1:] != doc[:-1]) | (owner[1:] != owner[:-1]) | (diagonal[1:] - diagonal[:-1] > gap)
+            chains = np.flatnonzero(apart)
+            chain_hits = np.diff(np.append(chains, len(at)))
+            bends = np.add.reduceat(new, chains, dtype=np.int64) - 1
+            expected = np.maximum(np.array(index.counts)[owner[chains]] - (length - 1 + gap) * bends, 1)
+            for c in np.flatnonzero((bends > 0) & (chain_hits >= coverage * expected)):
+                low, high = chains[c], chains[c] + chain_hits[c]
+                d, item = int(doc[low]), int(owner[low])
+                if (d, item) in best:
+                    continue
+                mine = index.words[item]
+                # Each of the item's windows once, at places of the document that go on.
+                order = np.lexsort((at[low:high], place[low:high])) + low
+                every, shifts, reached = [], [], -1
+                for h in order.tolist():
+                    if at[h] > reached and (not every or place[h] > every[-1]):
+                        every.append(int(place[h]))
+                        shifts.append(int(diagonal[h]))
+                        reached = int(at[h])
+                every, shifts = np.array(every), np.array(shifts)
+                shift_of = np.zeros(len(mine), np.int64)
+                inside = np.zeros(len(mine), bool)
+                for k in range(length - 1, -1, -1):
+                    shift_of[every + k] = shifts
+                    inside[every + k] = True
+                span = np.clip(np.arange(len(mine)) + shift_of, 0, len(raw) - 1)
+                theirs = raw[span]
+                slot = inside & ((index.kinds[item] != LITERAL) | (kinds[span] != LITERAL))
+                name = inside & (index.kinds[item] == CAPITAL) & (kinds[span] == CAPITAL)
+                left = _consistent(every, length, slot, name, mine, theirs)
+                bend = np.diff(shifts)
+                bend = bend[bend != 0]  # words put in, or left out if less than none
+                wanted = max(1, index.counts[item] - (length - 1) * len(bend) - int(np.maximum(-bend, 0).sum()))
+                covered = np.unique(left[:, None] + np.arange(length))
+                if len(left) < coverage * wanted or len(covered) < coverage * len(mine):
+                    continue
+                steps = np.append(0, np.cumsum(np.minimum(np.diff(index.starts[item]), np.diff(word)[span])))
+                kind = "verbatim" if (mine[covered] == theirs[covered]).all() else "reparameterised"
+                start, end = int(word[left[0] + shift_of[left[0]]] - bounds[d]), int(word[left[-1] + length - 1 + shift_of[left[-1]] + 1] - bounds[d])
+                best[d, item] = (len(left), min(1.0, len(left) / wanted), _longest(left, length, steps), start, end, kind)
             for (d, item), (n, cover, run, start, end, kind) in best.items():
                 yield doc_ids[d], zlib.crc32(texts[d].encode()), index.ids[item], kind, n, cover, run, start, end
 
     return group_leaks
 
 
-def find_leaks(documents: DataFrame, benchmark: DataFrame, coverage: float = 0.8, run_words: int = 13, slice_windows: int = 2_000_000) -> DataFrame:
+def find_leaks(documents: DataFrame, benchmark: DataFrame, coverage: float = 0.8, run_words: int = 13, gap: int = 3, slice_windows: int = 2_000_000) -> DataFrame:
     """documents(doc_id, text), benchmark(item_id, text) -> a row for each document and item that it leaks.
 
     ``text_crc`` (crc32 of the text) tells rows apart that share an id.
@@ -297,7 +359,7 @@ def find_leaks(documents: DataFrame, benchmark: DataFrame, coverage: float = 0.8
 
         def run(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
             table = WordTable(describe)
-            work = _leaks(index.value, coverage, run_words)
+            work = _leaks(index.value, coverage, run_words, gap)
             for batch in batches:
                 ids = batch.column(0).to_pylist()
                 texts = [t or "" for t in batch.column(1).to_pylist()]

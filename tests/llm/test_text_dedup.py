@@ -93,7 +93,7 @@ def brute_classes(rows, threshold=0.8):
 
 def test_classes_equal_all_pairs(spark):
     rows = corpus()
-    got = minhash_dedup.near_duplicates(frame(spark, rows), block=8, wide=16).collect()
+    got = minhash_dedup.near_duplicates(frame(spark, rows), block=8).collect()
     assert Counter((r.doc_id, r.class_id) for r in got) == brute_classes(rows)
     assert sum(r.kept for r in got if r.doc_id in range(7000, 7030)) == 1
 
@@ -117,10 +117,31 @@ def test_a_near_copy_among_many_that_are_almost_as_near(spark):
 
 def test_links_do_not_depend_on_the_width_of_blocks(spark):
     rows = pairs_in_boilerplate()[:120]
-    got = minhash_dedup.near_duplicates(frame(spark, rows), block=8, wide=16).collect()
+    got = minhash_dedup.near_duplicates(frame(spark, rows), block=8).collect()
     assert Counter((r.doc_id, r.class_id) for r in got) == Counter((i, i - i % 2) for i, _ in rows)
 
 
+def test_rows_of_a_groups_main_part_do_not_meet(spark):
+    from pyspark.sql import functions as F
+
+    from tabwright.llm.grouped import across_parts
+
+    rows = [("g", "m", i) for i in range(200)] + [("g", "o%d" % (i % 3), 1000 + i) for i in range(20)] + [("h", "m", i) for i in range(50)]
+    dealt = across_parts(spark.createDataFrame(rows, "k string, part string, id int"), ["k"], "part", F.col("id"), 16).collect()
+    assert {r.k for r in dealt} == {"g"} and len(dealt) < 200 * 3 + 20 * 20
+    met, blocks = set(), {}
+    for r in dealt:
+        blocks.setdefault((r.left, r.right), []).append(r)
+    for (left, right), held in blocks.items():
+        assert len(held) < 80
+        for x in held:
+            for y in held:
+                if x.id < y.id and x.part != y.part and (left == right or x.own_block != y.own_block):
+                    met.add((x.id, y.id))
+    ids = {i: p for k, p, i in rows if k == "g"}
+    assert met == {(x, y) for x in ids for y in ids if x < y and ids[x] != ids[y]}
+
+
 def test_dedup_empty(spark):
     assert minhash_dedup.near_duplicates(frame(spark, [])).collect() == []
 
@@ -193,6 +214,62 @@ def test_names_that_begin_sentences_and_values_of_other_lengths():
     assert leaks_of(item, "x " + item.replace("New York", "Paris").replace("twenty five", "30").replace("5 km", "5km"))[0][0] == "reparameterised"
 
 
+def test_names_in_capitals_and_words_put_in_or_left_out():
+    item = "on a warm day Natalia sold 48 red clips to her old friends at the market and then Natalia asked how many clips were left"
+    assert leaks_of(item, item.replace("Natalia", "MARIA").replace("48", "51"))[0][0] == "reparameterised"
+    assert leaks_of(item.replace("Natalia", "NATALIA"), item.replace("Natalia", "Maria"))[0][0] == "reparameterised"
+    assert leaks_of(item, item.replace("red", "RED"))[0][0] == "verbatim"
+    short = "how warm is the water that the fishermen pour over the stones"
+    assert leaks_of(short, "so " + short.replace("that the", "that all the"))[0][0] == "verbatim"
+    assert leaks_of(short, "so " + short.replace("that the", "the"))[0][0] == "verbatim"
+    assert leaks_of(short, "how warm is the water in the sea, and that the fishermen pour over the stones") == []
+
+
+def test_two_names_do_not_become_one_but_two_numbers_may():
+    item = "the road from Paris to the old town of Rome is long"
+    assert leaks_of(item, item.replace("Paris", "Ulm").replace("Rome", "Bern"))[0][0] == "reparameterised"
+    assert leaks_of(item, item.replace("Paris", "Ulm").replace("Rome", "Ulm")) == []
+    item = "the road from 12 to the old town of 7 is long"
+    assert leaks_of(item, item.replace("12", "5").replace("7", "5"))[0][0] == "reparameterised"
+
+
+def test_repeated_documents_and_items(spark):
+    bench = spark.createDataFrame([(2, ITEMS[1][1]), (2, ITEMS[1][1])], "item_id long, text string")
+    got = decontamination.find_leaks(frame(spark, [(5, ITEMS[1][1]), (5, ITEMS[1][1])]), bench).collect()
+    assert [(r.doc_id, r.item_id, r.kind) for r in got] == [(5, 2, "verbatim")] * 4
+
+
+def test_against_a_plain_template_matcher(spark):
+    """Items as lists of fixed words and slots, documents with instances of them: every instance and nothing else is found."""
+    draw = random.Random(9)
+    names, fixed = ["Anna", "Bert", "Cleo", "Dora", "Emil", "Frida"], ["w%d" % "abcdefghij".index(c) + c * 2 for c in "abcdefghij"]
+    items, docs, want = [], [], set()
+
+    def spell(slots, values):
+        return " ".join(values.get(w, w) for w in slots)
+
+    for k in range(12):
+        slots = [draw.choice(fixed) + "%s" % chr(97 + k) for _ in range(24)]
+        for at, mark in ((3, "#n"), (9, "#1"), (14, "#m"), (20, "#n")):
+            slots[at] = mark
+        items.append((k, slots, {"#n": names[0], "#m": names[1], "#1": str(10 + k)}))
+    for d in range(80):
+        slots = draw.choice(items)
+        values = {"#n": draw.choice(names[2:4]), "#m": draw.choice(names[4:]), "#1": str(draw.randrange(100, 999))}
+        fill = " ".join("fill%d" % draw.randrange(1000) for _ in range(30))
+        body = spell(slots[1], values)
+        if d % 4 == 3:
+            words = body.split()
+            draw.shuffle(words)
+            body = " ".join(words)
+        else:
+            want.add((d, slots[0]))
+        docs.append((d, f"{fill} {body} {fill}"))
+    bench = spark.createDataFrame([(k, spell(s, v)) for k, s, v in items], "item_id long, text string")
+    got = decontamination.find_leaks(frame(spark, docs), bench).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == want and all(r.kind == "reparameterised" for r in got)
+
+
 def test_a_run_counts_words_of_folded_values():
     words = ["w%d" % i for i in range(60)]
     words[3:5], words[8:10] = ["New", "York"], ["twenty", "five"]
