@@ -3,7 +3,7 @@
 import numpy as np
 
 from tabwright.llm.components import components
-from tabwright.llm.embedding_dedup import hadamard, near_duplicates
+from tabwright.llm.embedding_dedup import hadamard, hash_codes, near_duplicates, tables_for
 
 
 def brute(rows, threshold=0.95):
@@ -62,6 +62,39 @@ def test_null_id_and_empty(spark):
     assert len(got) == 3
 
 
+def test_ties_at_the_threshold_link(spark):
+    rows = [(1, [1.0, 0.0, 0.0, 0.0]), (2, [2.0, 2.0, 2.0, 2.0]), (3, [1.0, 1.0, 1.0, -1.0]), (4, [0.0, 3.0, 0.0, 0.0]), (5, [1.0, 1.0, 1.0, 0.9])]
+    frame = spark.createDataFrame([(i, v, 1, "b", 2) for i, v in rows], "vec_id long, embedding array<double>, dim int, bucket string, node int")
+    got = near_duplicates(frame, threshold=0.5, hashes=1, recall=1 - 1e-9).collect()
+    assert sorted((r.vec_id, r.n_links, r.component_id) for r in got) == brute(rows, 0.5)
+    assert {r.vec_id: r.n_links for r in got}[1] == 3
+
+
+def test_wide_vectors(spark):
+    draw = np.random.default_rng(6)
+    rows = []
+    for _ in range(60):
+        x, z = draw.standard_normal((2, 700))
+        x /= np.linalg.norm(x)
+        z -= (z @ x) * x
+        z /= np.linalg.norm(z)
+        rows += [(len(rows), x.tolist()), (len(rows) + 1, (0.952 * x + np.sqrt(1 - 0.952**2) * z).tolist())]
+    got = near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    assert sorted((r.vec_id, r.n_links, r.component_id) for r in got) == brute(rows)
+
+
+def test_tables_reach_the_recall_at_any_width():
+    draw = np.random.default_rng(5)
+    for dim, hashes in ((3, 2), (64, 2), (384, 2), (768, 3)):
+        tables = tables_for(dim, hashes, 0.95, 0.99)
+        x, z = draw.standard_normal((2, 600, dim))
+        x /= np.linalg.norm(x, axis=1, keepdims=True)
+        z -= (z * x).sum(1, keepdims=True) * x
+        z /= np.linalg.norm(z, axis=1, keepdims=True)
+        a, b = (hash_codes(v, tables, hashes, seed=9) for v in (x, 0.95 * x + np.sqrt(1 - 0.95**2) * z))
+        assert ((a == b[:, :, :1]) | (b == a[:, :, :1])).any((1, 2)).mean() > 0.97, (dim, hashes, tables)
+
+
 def test_hadamard_keeps_angles():
     x = np.random.default_rng(0).normal(size=(5, 16))
     assert np.allclose(hadamard(x) @ hadamard(x).T, 16 * x @ x.T)
