@@ -162,7 +162,7 @@ def mix(documents: DataFrame, block_words: int = 128, shard_slots: int = 8192, w
     low = F.greatest(F.col("start") - F.col("block") * block_words, F.lit(0))
     high = F.least(F.col("start") + F.col("size") - F.col("block") * block_words, F.lit(block_words))
     pieces = pieces.select("doc_id", *SOURCE, "source", "size", "crc", "start", "block", low.alias("low"), high.alias("high"))
-    met = pieces.join(taken_of, [*SOURCE, "block"], "left")
+    met = pieces.join(taken_of.hint("merge"), [*SOURCE, "block"], "left")  # both sides grow with the texts
     got = F.aggregate(F.coalesce("takes", F.array().cast("array<bigint>")), F.lit(0).cast("long"), lambda s, w: s + F.greatest(F.lit(0), F.least(F.col("high"), w) - F.col("low")).cast("long"))
     # Within a source, rows that have words differ in start; rows that are alike in all the key columns are counted apart.
     key = ["doc_id", *SOURCE, "source", "size", "crc", "start"]
