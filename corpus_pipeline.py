@@ -18,6 +18,8 @@ from tabwright.llm.queries import vocabulary
 TOXIC = 0.7
 #: Ids go to all executors only up to this number (16 bytes each); beyond it the texts are shuffled.
 BROADCAST_ROWS = 500_000
+#: A whole copy in the sums of parts.
+WHOLE = 1 << 24
 ORACLE_SQL = None
 
 
@@ -65,15 +67,19 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document as often as the mix takes its words: the whole times, and the rest of a time by a hash's chance."""
+    """Every document as often as the mix takes its words: the whole times, and a last one by systematic rounding. Along a
+    source's documents in order of size the parts of a copy left over are added up, and where the sum passes a whole
+    number the document takes the copy; as neighbours are of like size, a source's words come within those of its longest
+    document. Documents without words, of which the mix takes none, stay once."""
     mixed, _ = mixing.mix(docs)
-    mixed = mixed.groupBy(_key(), F.col("crc").alias("__crc")).agg(F.sum("taken").alias("taken"), F.max("size").alias("size"))
-    times = F.col("taken") / F.col("size")
-    chance = F.pmod(F.xxhash64("__key", "__crc", F.lit(8)), F.lit(1 << 20)) / F.lit(1 << 20)
-    copies = (F.floor(times) + (chance < times - F.floor(times)).cast("long")).cast("int")
-    wanted = mixed.where("size > 0").select("__key", "__crc", copies.alias("__copies")).where("__copies > 0")
-    own = _one_of_alike(docs.select("*", _key(), _crc())).join(wanted, ["__key", "__crc"])
-    return own.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select(*docs.columns)
+    own = mixed.groupBy(_key(), F.col("crc").alias("__crc")).agg(F.min("source").alias("source"), F.sum("taken").alias("taken"), F.max("size").alias("size"))
+    source = [F.col("source").isNull().alias("no_source"), F.coalesce("source", F.lit("")).alias("name")]
+    left = cut(own.select("*", *source, F.expr(f"if(size > 0, taken % size * {WHOLE} div size, 0)").alias("left"), F.xxhash64("__key", "__crc").alias("place")))
+    # Groups in order of size, each size in 64 parts, so that no task gets a whole source.
+    summed = mixing.running_before(left, mixing.SOURCE, ["place", "__key", "__crc"], F.col("size") * 64 + F.pmod(F.shiftrightunsigned("place", 58), F.lit(64)), "left", "before")
+    wanted = summed.select("__key", "__crc", F.expr(f"if(size > 0, taken div size + (before + left) div {WHOLE} - before div {WHOLE}, 1)").cast("int").alias("__copies")).where("__copies > 0")
+    rows = _one_of_alike(docs.select("*", _key(), _crc())).join(wanted, ["__key", "__crc"])
+    return rows.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select(*docs.columns)
 
 
 def store_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
