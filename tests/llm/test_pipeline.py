@@ -39,6 +39,10 @@ def test_stages_on_odd_rows(spark):
     assert sorted(((r.doc_id, r.text) for r in clean), key=repr) == sorted(((r[0], r[1]) for r in rows if item not in (r[1] or "")), key=repr)
     mixed = corpus_pipeline.mix_sources(spark, docs, SF).collect()
     assert {(r.doc_id, r.text) for r in mixed} <= {(r[0], r[1]) for r in rows}
+    assert {(4, None), (5, "")} <= {(r.doc_id, r.text) for r in mixed}  # documents without words stay
+    long = spark.createDataFrame([(1, "long " * 80_000, "en", "a", 1), (2, "short text of six words here", "en", "b", 1)], DOCS)
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        assert stage(spark, long, SF).where("doc_id = 1").count() >= 1
     clashing = docs.selectExpr("*", "1.5 as score", "'x' as digest", "2 as size", "3 as bucket")
     for _, stage in corpus_pipeline.STAGES[:-1]:
         assert stage(spark, clashing, SF).columns == clashing.columns
