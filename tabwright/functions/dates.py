@@ -60,3 +60,8 @@ def listed(date: Column) -> Column:
     """``ddMMMyyyy`` to ``yyyy-MM-dd`` and ``MMMyyyy`` to ``yyyy-MM``."""
     day = reformat(date, COMPACT, ISO)
     return F.coalesce(day, show(F.try_to_timestamp(F.concat(F.lit("01"), date), F.lit(COMPACT)), "yyyy-MM"))
+
+
+def run_day(today: Column, days_before: int = 0) -> Column:
+    """The day that a run is for, some days before today if it is set so."""
+    return F.date_sub(today, days_before)

@@ -126,3 +126,8 @@ def field(text: Column, mark: str, at: int) -> Column:
 def page_count(options: Column) -> Column:
     """Options of a page list, less the one that isn't a page."""
     return F.greatest(F.size(options) - 1, F.lit(0))
+
+
+def extract(text: Column, pattern: str, group: int = 1) -> Column:
+    """A pattern's group; null where it isn't found."""
+    return F.when(text.rlike(pattern), F.regexp_extract(text, pattern, group))

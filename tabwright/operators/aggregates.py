@@ -22,6 +22,24 @@ def _nth(rows: DataFrame, key: Sequence[str], order: Sequence[Column | str]) ->
     return rows.withColumn("__nth", F.row_number().over(Window.partitionBy(*key).orderBy(*order)))
 
 
+def one_each(rows: DataFrame, key: Sequence[str]) -> DataFrame:
+    """One row for each key, the least in its other columns: the same one in every run. Combined before the shuffle."""
+    rest = [c for c in rows.columns if c not in key]
+    if not rest:
+        return rows.distinct()
+    return rows.groupBy(*key).agg(F.min(F.struct(*rest)).alias("__row")).select(*[F.col(c) if c in key else F.col("__row")[c].alias(c) for c in rows.columns])
+
+
+def numbered(rows: DataFrame, within: Sequence[str], order: Sequence[str], name: str = "n") -> DataFrame:
+    """Row numbers from 1 in ``order``, within what they belong to."""
+    return rows.withColumn(name, F.row_number().over(Window.partitionBy(*within).orderBy(*order)))
+
+
+def first_match(rows: DataFrame, wanted: Column, key: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """Of each key the first row that is wanted."""
+    return keep_first(rows.where(wanted), key, order)
+
+
 def keep_first(rows: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
     return _nth(rows, key, order).where("__nth = 1").drop("__nth")
 
@@ -43,9 +61,9 @@ def first_seen(rows: DataFrame, date: str) -> DataFrame:
 
 
 def nested(rows: DataFrame, parent: str, child: str, name: str) -> DataFrame:
-    """parent -> map child -> name."""
+    """parent -> map child -> name (of several, the least)."""
     pairs = F.array_sort(F.collect_list(F.struct(child, name)))
-    return rows.select(parent, child, name).dropDuplicates([parent, child]).groupBy(parent).agg(F.map_from_entries(pairs).alias("children"))
+    return rows.groupBy(parent, child).agg(F.min(name).alias(name)).groupBy(parent).agg(F.map_from_entries(pairs).alias("children"))
 
 
 def wrong_count(values: Column, expected: int = 1) -> Column:

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabwright.functions import arrays
+from tabwright.operators.aggregates import one_each
 
 
 def project(rows: DataFrame, names: Mapping[str, str]) -> DataFrame:
@@ -32,13 +33,14 @@ def enrich(rows: DataFrame, constants: Mapping[str, str]) -> DataFrame:
 
 def enrich_from_parent(rows: DataFrame, parents: DataFrame, key: str, columns: Mapping[str, str]) -> DataFrame:
     """Columns of the parent record (output name -> parent's column) on every child row; children without one get nulls."""
-    own = parents.select(F.col(key), *[F.col(old).alias(new) for new, old in columns.items()]).dropDuplicates([key])
-    return rows.join(own, key, "left")
+    own = parents.select(F.col(key), *[F.col(old).alias(new) for new, old in columns.items()])
+    return rows.join(one_each(own, [key]), key, "left")
 
 
 def enrich_or_fail(rows: DataFrame, parents: DataFrame, key: str, columns: Mapping[str, str]) -> tuple[DataFrame, DataFrame]:
     """(enriched rows, keys without a parent)."""
-    own = parents.select(F.col(key), *[F.col(old).alias(new) for new, old in columns.items()]).dropDuplicates([key])
+    own = parents.select(F.col(key), *[F.col(old).alias(new) for new, old in columns.items()])
+    own = one_each(own, [key])
     return rows.join(own, key), rows.select(key).distinct().join(own, key, "left_anti")
 
 
@@ -84,8 +86,9 @@ def default(column: str, value: str) -> Column:
 
 
 def patch(rows: DataFrame, edits: DataFrame, key: str) -> DataFrame:
-    """edits(key, changes map column -> value): the new value where there is one."""
-    one = edits.groupBy(key).agg(F.first("changes").alias("__changes"))
+    """edits(key, changes map column -> value): the new value where there is one; of several edits of a key the one whose
+    JSON is least."""
+    one = edits.groupBy(key).agg(F.min_by("changes", F.to_json("changes")).alias("__changes"))
     met = rows.join(one, key, "left")
     new = [c if c == key else F.coalesce(F.try_element_at("__changes", F.lit(c)), F.col(f"`{c}`")).alias(c) for c in rows.columns]
     return met.select(*new)

@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tabwright.session import shared_dir
+
 
 def paths(levels: Sequence[tuple[DataFrame, str, str | None]]) -> DataFrame:
     """levels from the top: (table, code, parent's code or None) -> code, level, path (codes from the top)."""
@@ -26,25 +29,17 @@ def paths(levels: Sequence[tuple[DataFrame, str, str | None]]) -> DataFrame:
 def closure(edges: DataFrame, roots: DataFrame, most_rounds: int = 64) -> DataFrame:
     """edges(src, dst), roots(node): node and depth of everything from which a root is reached, the roots too. Cycles end.
 
-    Each round keeps what is new and is cut with a checkpoint, so plans stay small however deep the graph is.
+    Each round's new nodes alone are cut with a checkpoint, so plans stay small however deep the graph is.
     """
-    spark = edges.sparkSession
-    context = spark.sparkContext
-    if not context._jsc.sc().getCheckpointDir().isDefined():
-        import tempfile
-
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if not folder and not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="tabwright-"))
-    found = roots.select("node").distinct().withColumn("depth", F.lit(0)).checkpoint()
-    fresh = found
+    shared_dir(edges.sparkSession)
+    layers = [roots.select("node").distinct().withColumn("depth", F.lit(0)).checkpoint()]
     for depth in range(1, most_rounds):
-        nearer = edges.join(fresh.select(F.col("node").alias("dst")), "dst").select(F.col("src").alias("node")).distinct()
+        nearer = edges.join(layers[-1].select(F.col("node").alias("dst")), "dst").select(F.col("src").alias("node")).distinct()
+        found = reduce(DataFrame.unionByName, layers)
         fresh = nearer.join(found, "node", "left_anti").withColumn("depth", F.lit(depth)).checkpoint()
         if fresh.isEmpty():
             return found
-        found = found.unionByName(fresh).checkpoint()
+        layers.append(fresh)
     raise RuntimeError("the closure is deeper than most_rounds")
 
 

@@ -88,11 +88,14 @@ def required(rows: DataFrame, register: DataFrame, key: Sequence[str]) -> DataFr
     return met.where(checked.cast("boolean")).drop("__found")
 
 
-def zipped(sections: DataFrame, section: str, order: str, columns: Sequence[str]) -> DataFrame:
-    """Sections side by side: n, then sNN_column for every section; unequal lengths raise."""
+def zipped(sections: DataFrame, section: str, order: str, columns: Sequence[str], most: int = 1000) -> DataFrame:
+    """Sections side by side: n, then sNN_column for every section; unequal lengths raise, and so do more than ``most``
+    sections, as each makes columns."""
     numbered = sections.withColumn("n", F.row_number().over(Window.partitionBy(section).orderBy(order)))
-    names = sorted(r[0] for r in sections.select(section).distinct().collect())
-    sizes = [r["n"] for r in sections.groupBy(section).agg(F.count(F.lit(1)).alias("n")).collect()]
+    counted = sections.groupBy(section).agg(F.count(F.lit(1)).alias("n")).limit(most + 1).collect()
+    if len(counted) > most:
+        raise ValueError(f"there are more than {most} sections")
+    names, sizes = sorted(r[0] for r in counted), [r["n"] for r in counted]
     if len(set(sizes)) > 1:
         raise ValueError(f"sections have {sorted(sizes)} rows")
     wide = numbered.groupBy("n").pivot(section, names).agg(*[F.first(c).alias(c) for c in columns], F.lit(1).alias("__one"))
@@ -107,8 +110,8 @@ def side_by_side(left: DataFrame, right: DataFrame, key: str = "pos", cells: str
 
 
 def lookup(rows: DataFrame, dimension: DataFrame, key: str, column: str, otherwise: str) -> DataFrame:
-    """The dimension's column, or a default."""
-    one = dimension.select(key, column).dropDuplicates([key])
+    """The dimension's column (of several, the least), or a default."""
+    one = dimension.groupBy(key).agg(F.min(column).alias(column))
     return rows.join(one, key, "left").withColumn(column, F.coalesce(column, F.lit(otherwise)))
 
 

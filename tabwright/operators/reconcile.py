@@ -14,6 +14,7 @@ from pyspark.sql.window import Window
 
 from tabwright.functions import text
 from tabwright.operators import entities as E
+from tabwright.operators.aggregates import one_each
 from tabwright.operators.filters import ends_with_word
 from tabwright.operators.joins import closest_name, sets_compared
 
@@ -56,7 +57,8 @@ def code_checks(
     ``order`` is the entities' order. Entities of several codes hold none, so their codes are missing too.
     """
     base = entities.select("id", F.col(order).alias("order"), E.label().alias("label"), E.names().alias("names"), E.codes(code_type).alias("codes"))
-    known = register.select(F.col(f"`{code}`").alias("code"), F.col(f"`{name}`").alias("name")).dropDuplicates(["code"])
+    known = register.select(F.col(f"`{code}`").alias("code"), F.col(f"`{name}`").alias("name"))
+    known = one_each(known, ["code"])
     who = {"entity": F.col("id"), "label": F.col("label")}
     several = base.where("size(codes) > 1").withColumn("code", F.explode("codes")).join(known, "code", "left")
     listed = several.groupBy("id", "label").agg(F.array_sort(F.collect_list(F.struct("code", F.coalesce("name", F.lit("NA")).alias("name")))).alias("entries"))
@@ -84,7 +86,8 @@ def code_checks(
 def hierarchy_check(found: DataFrame, expected: DataFrame, key: str, parent: str) -> DataFrame:
     """found and expected(key, parent): wrong_hierarchy where both have the key and the parents differ. NA is no parent."""
     a = found.where(F.col(parent) != "NA").select(key, F.col(parent).alias("current"))
-    b = expected.where(F.col(parent) != "NA").select(key, F.col(parent).alias("expected")).dropDuplicates([key])
+    b = expected.where(F.col(parent) != "NA").select(key, F.col(parent).alias("expected"))
+    b = one_each(b, [key])
     return issue(a.join(b, key).where("current != expected"), "wrong_hierarchy", F.col(key), current=F.col("current"), expected=F.col("expected"))
 
 
@@ -94,7 +97,7 @@ def suffix_check(entities: DataFrame, suffix: str | DataFrame, state: str | None
     if isinstance(suffix, str):
         met = entities.withColumn("suffix", F.lit(suffix))
     else:
-        met = entities.join(suffix.select(state, "suffix").dropDuplicates([state]), state).where("coalesce(suffix, '') != ''")
+        met = entities.join(one_each(suffix.select(state, "suffix"), [state]), state).where("coalesce(suffix, '') != ''")
     return issue(met.where(~ends_with_word(F.col("label"), F.col("suffix"))), "wrong_suffix", F.col("id"), label=F.col("label"), expected=F.col("suffix"))
 
 
@@ -141,7 +144,8 @@ def coextensive_check(pairs: DataFrame, current: DataFrame, left: str, right: st
     from tabwright.operators.joins import one_to_one
 
     a = one_to_one(pairs, left, right).select(F.col(left).cast("string").alias("l"), F.col(right).cast("string").alias("expected"))
-    b = current.select(F.col(left).cast("string").alias("l"), F.col(right).cast("string").alias("current")).dropDuplicates(["l"])
+    b = current.select(F.col(left).cast("string").alias("l"), F.col(right).cast("string").alias("current"))
+    b = one_each(b, ["l"])
     met = a.join(b, "l", "left")
     return issue(met.where(~F.col("expected").eqNullSafe(F.col("current"))), "wrong_coextensive", F.col("l"), expected=F.col("expected"), current=F.col("current"))
 

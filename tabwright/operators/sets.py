@@ -15,7 +15,9 @@ def union_all(parts: Sequence[DataFrame], strict: bool = True) -> DataFrame:
 
 
 def added_removed(old: DataFrame, new: DataFrame) -> tuple[DataFrame, DataFrame]:
-    return new.select(*old.columns).exceptAll(old).distinct(), old.exceptAll(new.select(*old.columns)).distinct()
+    """(rows of new alone, rows of old alone), as sets: how often a row stands in a snapshot doesn't count."""
+    own = new.select(*old.columns)
+    return own.subtract(old), old.subtract(own)
 
 
 def changes(old: DataFrame, new: DataFrame, key: Sequence[str]) -> DataFrame:
@@ -66,7 +68,8 @@ def path_diff(old: DataFrame, new: DataFrame) -> DataFrame:
 
 
 def json_paths(document: Column, depth: int = 8) -> Column:
-    """Not an array walk: leaf paths of a JSON object as array of struct(path, value), by levels of objects."""
+    """Not an array walk: leaf paths of a JSON object as array of struct(path, value), by levels of objects. A document
+    of more levels than ``depth`` raises when it is computed."""
     level = F.transform(F.map_entries(F.from_json(document, "map<string,string>")), lambda e: F.struct(e["key"].alias("path"), e["value"].alias("value")))
     for _ in range(depth - 1):
 
@@ -76,7 +79,8 @@ def json_paths(document: Column, depth: int = 8) -> Column:
             return F.when(e["value"].startswith("{") & inner.isNotNull(), own).otherwise(F.array(e))
 
         level = F.flatten(F.transform(level, deeper))
-    return level
+    unread = F.exists(level, lambda e: e["value"].startswith("{") & F.from_json(e["value"], "map<string,string>").isNotNull())
+    return F.when(F.coalesce(unread, F.lit(False)), F.raise_error(F.lit(f"a document has more than {depth} levels")).cast("array<struct<path:string,value:string>>")).otherwise(level)
 
 
 def common(left: DataFrame, right: DataFrame) -> DataFrame:

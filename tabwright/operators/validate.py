@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tabwright.functions import arrays
+from tabwright.operators.aggregates import one_each
 from tabwright.operators.joins import first_failing
 
 ISSUE = ("kind", "scope", "key", "message", "row", "prev")
@@ -42,7 +43,8 @@ def child_table(
     met = children
     rules: dict[str, Column] = {}
     if parent is not None:
-        up = parent.select(F.col(parent_code).alias("__parent"), *[F.col(c).alias(f"__up_{i}") for i, c in enumerate((agreeing or {}).values())], F.lit(True).alias("__found")).dropDuplicates(["__parent"])
+        up = parent.select(F.col(parent_code).alias("__parent"), *[F.col(c).alias(f"__up_{i}") for i, c in enumerate((agreeing or {}).values())], F.lit(True).alias("__found"))
+        up = one_each(up, ["__parent"])
         met = children.join(up, F.col(f"`{parent_code}`") == F.col("__parent"), "left")
         rules["unknown_parent"] = F.col("__found").isNull()
         for i, column in enumerate(agreeing or {}):
@@ -103,7 +105,8 @@ def member_mapping(
     same = F.col("__prev")[body].eqNullSafe(F.col(f"`{body}`")) if body else F.lit(True)
     out = issues(again.where(same), F.lit("member_repeat"), scope, F.col(f"`{member}`"), F.lit(f"{scope}: repeated member"), _row(own), F.col("__prev"))
     met = kept.where("__n = 1").drop("__n", "__prev")
-    known = member_paths.select(F.col(member).alias("__m"), *[F.col(c).alias(f"__p{i}") for i, c in enumerate(path)], F.lit(True).alias("__known")).dropDuplicates(["__m"])
+    known = member_paths.select(F.col(member).alias("__m"), *[F.col(c).alias(f"__p{i}") for i, c in enumerate(path)], F.lit(True).alias("__known"))
+    known = one_each(known, ["__m"])
     met = met.join(known, F.col(f"`{member}`") == F.col("__m"), "left")
     off = F.lit(False)
     for i, column in enumerate(path):

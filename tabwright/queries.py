@@ -2,44 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabwright.functions import arrays, dates, distance, numbers, text
 from tabwright.operators import aggregates, columns, filters, hierarchy, joins, ordered, reconcile, sets, validate
+from tabwright.registry import ORACLES, QUERIES, Query, big, load, query
 from tabwright.sources import documents, tables
 from tabwright.streaming import incremental
 
-Query = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, Query] = {}
-ORACLES: dict[str, str] = {}
-
 #: A total order of lineitem rows; rows alike in all of it are alike.
 LINE_ORDER = ("l_shipdate", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus")
 LINE_SQL = ", ".join(LINE_ORDER)
 CUT = "1996-01-01"
 
 
-def query(sql: str | None = None) -> Callable[[Query], Query]:
-    def add(function: Query) -> Query:
-        QUERIES[function.__name__] = function
-        if sql:
-            ORACLES[function.__name__] = sql
-        return function
-
-    return add
-
-
-def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def big(column) -> F.Column:
-    return (F.col(column) if isinstance(column, str) else column).cast("bigint")
-
-
 # Joins and validation
 
 
@@ -368,17 +344,24 @@ _OLD, _NEW = f"(SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_o
 def _snapshots(spark, d):
     orders = load(spark, d, "orders")
     pick = lambda condition: orders.where(condition).select("o_orderkey", "o_custkey", "o_totalprice")
-    return pick(f"o_orderdate < timestamp_ntz '{CUT}' or o_orderkey % 5 = 0"), pick(f"o_orderdate >= timestamp_ntz '{CUT}' or o_orderkey % 7 = 0")
+    old, new = pick(f"o_orderdate < timestamp_ntz '{CUT}' or o_orderkey % 5 = 0"), pick(f"o_orderdate >= timestamp_ntz '{CUT}' or o_orderkey % 7 = 0")
+    return old, new
+
+
+def _repeated(spark, d):
+    """Snapshots in which some rows stand twice or three times."""
+    old, new = _snapshots(spark, d)
+    return old.unionByName(old.where("o_orderkey % 11 = 0")), new.unionByName(new.where("o_orderkey % 3 = 0")).unionByName(new.where("o_orderkey % 3 = 0"))
 
 
 @query(f"SELECT * FROM {_NEW} EXCEPT SELECT * FROM {_OLD}")
 def snapshot_diff_added(spark, d):
-    return sets.added_removed(*_snapshots(spark, d))[0]
+    return sets.added_removed(*_repeated(spark, d))[0]
 
 
 @query(f"SELECT * FROM {_OLD} EXCEPT SELECT * FROM {_NEW}")
 def snapshot_diff_removed(spark, d):
-    return sets.added_removed(*_snapshots(spark, d))[1]
+    return sets.added_removed(*_repeated(spark, d))[1]
 
 
 @query(f"SELECT * FROM {_OLD} UNION ALL SELECT * FROM {_NEW} n WHERE o_orderkey NOT IN (SELECT o_orderkey FROM {_OLD})")
@@ -441,7 +424,8 @@ def lev_best_match(spark, d):
 
 @query()
 def masala_match(spark, d):
-    """Weighted distance of neighbouring part names; each distinct pair is computed once."""
+    """Weighted distances within blocks of part names that begin with the same two letters (the rule of this query alone;
+    joins.closest_name compares whatever names it is given); each distinct pair is computed once."""
     names = load(spark, d, "part").select(F.upper("p_name").alias("name")).distinct()
     pairs = names.withColumn("k", F.substring("name", 1, 2)).alias("a").join(names.withColumn("k", F.substring("name", 1, 2)).alias("b"), "k").select(F.col("a.name").alias("one"), F.col("b.name").alias("two"))
     return pairs.select("one", "two", F.round(distance.distance(F.col("one"), F.col("two")), 6).alias("distance"))
@@ -530,11 +514,23 @@ def windowed_counts(spark, d):
     return incremental.windowed_counts(load(spark, d, "events"), "ts", "event_type")
 
 
-@query()
+@query(r"""
+    SELECT page_id, 1 AS "table", "row", cells FROM (
+      SELECT page_id, 0 AS "row", 'Page|Address|Kind' AS cells FROM pages UNION ALL
+      SELECT page_id, 1, CAST(page_id AS VARCHAR) || '|' || trim(regexp_replace(url, '\s+', ' ', 'g')) || '|odd ' || page_id % 2 FROM pages UNION ALL
+      SELECT page_id, 2, 'a & b' || chr(10) || 'c|' || page_id * 2 || '|' FROM pages WHERE page_id % 3 = 0)""")
 def html_table_extract(spark, d):
-    """Cells of the pages' tables and, for pages without any, the labels of their lists."""
-    pages = load(spark, d, "pages").select("page_id", documents.repair_html(F.col("html")).alias("html"))
-    return documents.decoded(pages, "page_id", "html", lambda html: documents.page_tables(html, drop_small=False))
+    """Every page gets a table before its own content (one of another id before it, a header cell that a td closes, hidden
+    divs, rows of one cell), which is found again by its id."""
+    safe = F.replace(F.replace(F.replace("url", F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit('"'), F.lit("&quot;"))
+    more = F.when(F.col("page_id") % 3 == 0, F.concat(F.lit("<tr><td><div>a &amp; b</div><div style='visibility: hidden'>no</div><div>c</div></td><td>"), F.col("page_id") * 2, F.lit("</td><td></td></tr>"))).otherwise("<tr><td>one</td></tr>")
+    table = F.concat(F.lit("<table id=x><tr><td>no</td><td>no</td></tr></table><table id=t><tr><th>Page</th><th>Address</td><th>Kind</th></tr><tr><td>"), F.col("page_id"), F.lit("</td><td>"), safe, F.lit("</td><td>odd "), F.col("page_id") % 2, F.lit("</td></tr>"), more, F.lit("</table>"))
+    pages = load(spark, d, "pages").select("page_id", documents.repair_html(F.concat(table, F.coalesce("html", F.lit("")))).alias("html"))
+    rows = documents.decoded(pages, "page_id", "html", lambda html: documents.page_tables(html, "t"))
+    return rows.select("page_id", "table", "row", F.array_join("cells", "|").alias("cells"))
+
+
+from tabwright import cell_queries, entity_queries, source_queries  # noqa: E402, F401  they list themselves
 
 
 def queries() -> dict[str, Query]:

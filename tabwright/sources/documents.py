@@ -73,23 +73,21 @@ def workbook(data: bytes) -> Iterator[tuple[int, list[str]]]:
 
 
 def text_document(data: bytes) -> Iterator[tuple[int, list[str]]]:
-    """ODT tables: repeated and spanning cells are cloned, cells that begin with # are comments, empty rows go."""
+    """ODT tables: repeated cells are cloned, and spanning ones unless they say how often they repeat; covered cells aren't
+    read. A cell's paragraphs are joined as they are, cells that begin with # are comments, empty rows go."""
     with zipfile.ZipFile(io.BytesIO(data)) as package:
         root = ElementTree.fromstring(package.read("content.xml"))
     for number, table in enumerate(root.iter(f"{_TABLE}table")):
         for row in table.iter(f"{_TABLE}table-row"):
             cells: list[str] = []
             for cell in row:
-                if cell.tag not in (f"{_TABLE}table-cell", f"{_TABLE}covered-table-cell"):
+                if cell.tag != f"{_TABLE}table-cell":
                     continue
-                text = "\n".join("".join(p.itertext()) for p in cell.iter(f"{_TEXT}p"))
+                text = "".join("".join(p.itertext()) for p in cell.iter(f"{_TEXT}p"))
                 if text.startswith("#"):
                     continue
-                span = cell.get(f"{_TABLE}number-columns-spanned")
-                times = int(cell.get(f"{_TABLE}number-columns-repeated") or 1)
-                if cell.tag.endswith("}covered-table-cell") and not text:
-                    continue  # its text was cloned by the cell that spans it
-                cells += [text] * max(times, int(span or 1))
+                times = cell.get(f"{_TABLE}number-columns-repeated") or cell.get(f"{_TABLE}number-columns-spanned") or 1
+                cells += [text] * int(times)
             while cells and not cells[-1]:
                 cells.pop()
             if any(cells):

@@ -68,16 +68,23 @@ def data_dictionary(catalog: DataFrame) -> DataFrame:
 
 
 def replace_path(spark: SparkSession, staged: str, final: str) -> None:
-    """Puts a finished staging folder in the place of the final one."""
+    """Puts a finished staging folder in the place of the final one. The old one is moved aside first and comes back if the
+    new one can't take its place; a crash between the two moves leaves both, the old one as ``final.old``."""
     jvm = spark._jvm
     new, old = jvm.org.apache.hadoop.fs.Path(staged), jvm.org.apache.hadoop.fs.Path(final)
     files = new.getFileSystem(spark._jsc.hadoopConfiguration())
     if not files.exists(new):
         raise FileNotFoundError(staged)
+    aside = jvm.org.apache.hadoop.fs.Path(f"{final}.old")
     if files.exists(old):
-        files.delete(old, True)
+        files.delete(aside, True)
+        if not files.rename(old, aside):
+            raise OSError(f"{final} could not be moved aside")
     if not files.rename(new, old):
+        if files.exists(aside):
+            files.rename(aside, old)
         raise OSError(f"{staged} could not become {final}")
+    files.delete(aside, True)
 
 
 def quick_statements(issues: DataFrame, templates: Mapping[str, Column]) -> DataFrame:

@@ -6,9 +6,12 @@ operators and Spark has none, so the scans that promise it give a position colum
 
 from __future__ import annotations
 
-import re
-from collections.abc import Callable, Mapping, Sequence
+import csv
+import io
+import itertools
+from collections.abc import Callable, Iterator, Mapping, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -68,31 +71,36 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).select(line).where("line != ''").distinct()
 
 
-def read_cells(spark: SparkSession, path: str | Sequence[str], sep: str = ",", wide: int = 64) -> DataFrame:
-    """Headerless CSV as (file, pos, cells), rows as wide as they were written.
+def read_cells(spark: SparkSession, path: str | Sequence[str], sep: str = ",") -> DataFrame:
+    """Headerless CSV as (file, pos, cells), rows as wide as they were written; quoted cells may hold line ends.
 
     Each file is read whole, as its rows need their order; these files are pages of documents, small ones.
     """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        csv.field_size_limit(2**31 - 1)
+        for batch in batches:
+            for file, text in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                rows = enumerate(csv.reader(io.StringIO(text or "", newline=""), delimiter=sep))
+                while part := [(at, cells) for at, cells in itertools.islice(rows, 4000)]:
+                    kept = [(at, cells) for at, cells in part if cells]
+                    yield pa.RecordBatch.from_arrays([pa.array([file] * len(kept), pa.string()), pa.array([at for at, _ in kept], pa.int64()), pa.array([cells for _, cells in kept], pa.list_(pa.string()))], names=["file", "pos", "cells"])
+
     pages = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("file"), "value")
-    # A line end inside quotes isn't a row's end: an even number of quotes follows a real one.
-    lines = F.split(F.regexp_replace("value", "(\r?\n)+$", ""), '\r?\n(?=(?:[^"]*"[^"]*")*[^"]*$)')
-    rows = pages.select("file", F.posexplode(lines).alias("pos", "line")).where("line != ''")
-    schema = ", ".join(f"c{i} string" for i in range(wide))
-    cells = F.from_csv("line", schema, {"sep": sep, "multiLine": "true", "escape": '"'})
-    count = F.size(F.split("line", re.escape(sep) + '(?=(?:[^"]*"[^"]*")*[^"]*$)'))
-    listed = F.array(*[F.coalesce(F.col("__c")[f"c{i}"], F.lit("")) for i in range(wide)])
-    return rows.withColumn("__c", cells).select("file", F.col("pos").cast("long"), F.slice(listed, F.lit(1), F.least(count, F.lit(wide))).alias("cells"))
+    return pages.mapInArrow(run, "file string, pos long, cells array<string>")
 
 
 def with_header(rows: DataFrame, span: int = 1, cells: str = "cells", order: str = "pos") -> DataFrame:
     """Positional rows -> named columns, by the first ``span`` rows: their cells joined with line ends, normalised; short
-    header rows are padded. Short rows are padded, long ones cut. No rows beyond the header: an empty table."""
+    header rows are padded. Short rows are padded, long ones cut. No rows beyond the header: an empty table. ``order`` has
+    to be total; only the header's rows are sorted out."""
     if span < 1:
         raise ValueError("a header has one row at least")
-    head = [r[0] for r in rows.orderBy(order).select(cells).limit(span).collect()]
+    first = rows.orderBy(order).select(cells, order).limit(span).collect()
+    head = [r[0] for r in first]
     width = max(map(len, head), default=0)
     names = [normal_header("\n".join(r[i] if i < len(r) else "" for r in head)) for i in range(width)]
-    body = rows.withColumn("__nth", F.row_number().over(Window.orderBy(order))).where(F.col("__nth") > span)
+    body = rows.where(F.col(order) > first[-1][1]) if first else rows
     fit = arrays.to_width(F.col(cells), width) if width else F.array()
     return normalise_headers(body.select(*[fit[i].alias(n or f"column {i + 1}") for i, n in enumerate(names)]))
 
@@ -189,3 +197,28 @@ def _identity() -> Transform:
 @register("ignore_if_empty_field")
 def _ignore_if_empty(field: str) -> Transform:
     return lambda rows: rows.where(F.coalesce(F.col(f"`{field}`"), F.lit("")) != "")
+
+
+def skip_then_header(rows: DataFrame, skip: int, span: int = 1, cells: str = "cells", order: str = "pos") -> DataFrame:
+    """Sheets with lines before their header: the first ``skip`` rows go, then with_header."""
+    before = rows.orderBy(order).select(order).limit(skip).collect()
+    return with_header(rows.where(F.col(order) > before[-1][0]) if before else rows, span, cells, order)
+
+
+STATE_CONFIG = "state string, suffix string, class bigint, alternates array<bigint>"
+
+
+def state_config(rows: DataFrame) -> DataFrame:
+    """A user's table of states (STATE_CONFIG), checked: a state without a name or given twice, or without a class, raises."""
+    kinds = dict(rows.dtypes)
+    if lacking := [c for c in ("state", "suffix", "class", "alternates") if c not in kinds]:
+        raise ValueError(f"state configuration lacks {lacking}")
+    bad = rows.groupBy("state").agg(F.count(F.lit(1)).alias("n"), F.max(F.col("class").isNull()).alias("none")).where("n > 1 or none or coalesce(state, '') = ''")
+    if wrong := [r["state"] for r in bad.orderBy("state").limit(20).collect()]:
+        raise ValueError(f"state configuration is wrong for {wrong}")
+    return rows.select("state", F.coalesce("suffix", F.lit("")).alias("suffix"), "class", F.coalesce("alternates", F.array().cast("array<bigint>")).alias("alternates"))
+
+
+def state_classes(config: DataFrame) -> DataFrame:
+    """state, class: a row for each class that a state's entities may have, alternates too."""
+    return config.select("state", F.explode(F.array_union(F.array("class"), "alternates")).alias("class"))

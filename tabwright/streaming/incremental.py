@@ -11,6 +11,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tabwright.operators.aggregates import one_each
+
 
 def due_dates(spark: SparkSession, today: str, days: int, covered: DataFrame) -> DataFrame:
     """due: the last ``days`` dates up to today that the ledger(date) lacks, with the range (from the day before) to ask for."""
@@ -32,7 +34,7 @@ def load_batch(rows: DataFrame, target: str, ledger: str, key: Sequence[str], da
             return spark.createDataFrame([], schema)
 
     old = read(target, rows.schema)
-    one = rows.dropDuplicates(list(key))
+    one = one_each(rows, key)
     fresh = one.join(old.select(*key), list(key), "left_anti").persist()
     n = fresh.count()
     if n:
@@ -68,6 +70,26 @@ def through_cache(wanted: DataFrame, cache: DataFrame, fetch: Callable[[DataFram
     return wanted.join(cache, key).unionByName(fresh), fresh
 
 
+#: Language codes that a transliteration service knows under another name.
+LANGUAGE_ALIASES = {"new": "ne", "bho": "hi"}
+
+
+def service_language(code: str, supported: Sequence[str]) -> str:
+    """The service's code for a language; one that it doesn't support raises."""
+    known = LANGUAGE_ALIASES.get(code, code)
+    if known not in supported:
+        raise ValueError(f"no transliteration for {code}")
+    return known
+
+
+def transliterated(wanted: DataFrame, cache: DataFrame, fetch: Callable[[DataFrame, str], DataFrame], language: str, supported: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """wanted(text), cache(language, text, latin), fetch(texts, language) -> (text, latin of all, rows to append to the cache)."""
+    code = service_language(language, supported)
+    own = cache.where(F.col("language") == code).select("text", "latin")
+    both, fresh = through_cache(wanted.select("text").distinct(), own, lambda texts: fetch(texts, code), "text")
+    return both, fresh.select(F.lit(code).alias("language"), "text", "latin")
+
+
 def to_publish(names: DataFrame, listed: DataFrame, always: Sequence[str] = ("changes",)) -> DataFrame:
     """Names that aren't listed, and those that are always replaced."""
     fresh = names.join(listed, "name", "left_anti")
