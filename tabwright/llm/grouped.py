@@ -9,6 +9,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tabwright.llm.common import cut
+
 
 def in_blocks(rows: DataFrame, key: list[str], member: Column, block: int) -> DataFrame:
     """Rows of groups (by ``key``) of two and more -> the same with ``left`` and ``right`` block numbers.
@@ -25,12 +27,17 @@ def in_blocks(rows: DataFrame, key: list[str], member: Column, block: int) -> Da
     return dealt.select("*", F.least("own_block", "other").alias("left"), F.greatest("own_block", "other").alias("right")).drop("other", "group_rows")
 
 
+def small(rows: DataFrame, most: int = 500_000) -> DataFrame:
+    """Materialised rows, marked for a broadcast if there are at most ``most`` (of some ten bytes each)."""
+    return F.broadcast(rows) if rows.count() <= most else rows
+
+
 def across_parts(rows: DataFrame, key: list[str], part: str, member: Column, block: int) -> DataFrame:
     """As ``in_blocks``, for groups whose rows are compared with those of other ``part``s alone: rows of a group's largest
     part don't meet each other, so that a group that is nearly one part isn't dealt out in all its pairs of blocks."""
     sizes = rows.groupBy(*key, part).agg(F.count(F.lit(1)).alias("n"))
     groups = sizes.groupBy(*key).agg(F.max(F.struct("n", part)).alias("main"), F.sum("n").alias("all_rows"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
-    met = rows.join(groups, key)
+    met = rows.join(small(cut(groups)), key)  # a large group's rows stay where they are
     is_main = F.col(part) == F.col(f"main.{part}")
     mains, others = (F.ceil(n / block).cast("int") for n in (F.col("main.n"), F.col("all_rows") - F.col("main.n")))
     own = F.when(is_main, others + F.pmod(F.xxhash64(member), mains)).otherwise(F.pmod(F.xxhash64(member), others)).cast("int")

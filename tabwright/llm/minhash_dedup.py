@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from tabwright.llm.common import cut
 from tabwright.llm.components import components
 from tabwright.llm.encoding import text_groups
-from tabwright.llm.grouped import across_parts, per_group
+from tabwright.llm.grouped import across_parts, per_group, small
 from tabwright.llm.words import WordTable, mix, window_hashes
 
 SHINGLE = 5
@@ -298,7 +298,7 @@ def near_duplicates(documents: DataFrame, threshold: float = 0.8, block: int = 2
     placed = met.select("bucket", "digest").join(joined.withColumnRenamed("node", "digest"), "digest", "left").withColumn("component", F.coalesce("component", "digest"))
     # Buckets of several components, as rows of (bucket, class).
     several = placed.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low != high").select("bucket")
-    apart = cut(placed.join(several, "bucket"))
+    apart = cut(placed.join(small(cut(several), broadcast_ids), "bucket"))
     if not apart.isEmpty():
         signs, key = classes.select("digest", "bands", "registers"), ["bucket", "left", "right"]
         dealt = across_parts(apart, ["bucket"], "component", F.col("digest"), block).join(signs, "digest")
