@@ -68,8 +68,8 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as often as the mix takes its words: the whole times, and a last one by systematic rounding. Along a
-    source's documents in order of size the parts of a copy left over are added up, and where the sum passes a whole
-    number the document takes the copy; as neighbours are of like size, a source's words come about as near as its longest
+    source's documents in order of size the parts of a copy left over are added up, and where the sum passes a half over a
+    whole number the document takes the copy; as neighbours are of like size, a source's words come about as near as its longest
     document. Documents without words, of which the mix takes none, stay once."""
     mixed, _ = mixing.mix(docs)
     own = mixed.groupBy(_key(), F.col("crc").alias("__crc")).agg(F.min("source").alias("source"), F.sum("taken").alias("taken"), F.max("size").alias("size"))
@@ -77,7 +77,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     left = cut(own.select("*", *source, F.expr(f"if(size > 0, taken % size * {WHOLE} div size, 0)").alias("left"), F.xxhash64("__key", "__crc").alias("place")))
     # Some hundred classes of like size, each in 4 parts by hash: no task gets a whole source, and a source has few groups.
     summed = mixing.running_before(left, mixing.SOURCE, ["size", "place", "__key", "__crc"], F.floor(16 * F.log2(F.col("size") + 1)) * 4 + F.pmod("place", F.lit(4)), "left", "before")
-    wanted = summed.select("__key", "__crc", F.expr(f"if(size > 0, taken div size + (before + left) div {WHOLE} - before div {WHOLE}, 1)").cast("int").alias("__copies")).where("__copies > 0")
+    wanted = summed.select("__key", "__crc", F.expr(f"if(size > 0, taken div size + (before + left + {WHOLE // 2}) div {WHOLE} - (before + {WHOLE // 2}) div {WHOLE}, 1)").cast("int").alias("__copies")).where("__copies > 0")
     rows = _one_of_alike(docs.select("*", _key(), _crc())).join(wanted, ["__key", "__crc"])
     return rows.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select(*docs.columns)
 
