@@ -282,8 +282,10 @@ def near_duplicates(documents: DataFrame, threshold: float = 0.8, block: int = 2
         """pairs(pivot, digest), distinct -> a, b, similarity."""
         pairs = cut(pairs)
         shingles = shingles_of(pairs.select("digest").union(pairs.select("pivot")).distinct())
-        # Only pivots of many pairs are dealt into parts, so that no task gets all the rows of one.
-        heavy = cut(pairs.groupBy("pivot").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > block).select("pivot", F.ceil(F.col("n") / block).cast("int").alias("parts")))
+        # Only pivots of many pairs are dealt into parts, so that no task gets all the rows of one; parts are smaller than
+        # blocks, as a part costs one more row of the pivot only and several of them meet in a task by hash.
+        part = max(block // 4, 1)
+        heavy = cut(pairs.groupBy("pivot").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > part).select("pivot", F.ceil(F.col("n") / part).cast("int").alias("parts")))
         parted = pairs.join(F.broadcast(heavy) if heavy.count() <= broadcast_ids else heavy, "pivot", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
         heads = parted.select("pivot", "parts").distinct().select("pivot", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
         heads = heads.join(shingles, heads.pivot == shingles.digest).select("pivot", "part", F.lit(True).alias("is_pivot"), "digest", "shingles", "counts")
