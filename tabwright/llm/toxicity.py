@@ -41,6 +41,8 @@ from tabwright.llm.common import cut, labelled_texts
 VOTERS = 6
 DENSE = 0.006
 KINDS = "w45d"
+#: Rows of terms that a task holds before they go out, some 20 MB, besides those of one text.
+HELD = 100_000
 EDGES = ".,;:!?\"'()[]{}<>|*#$%&-_=+/\\"
 PATTERNS = ("shouting", "repeated_marks", "table", "address", "digits")
 CAPITALS = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -102,14 +104,19 @@ def term_hits(texts: list[str], terms: dict[str, int]) -> Iterator[list[int]]:
         yield sorted(found) + [n + i for i, yes in enumerate(pattern_votes(text)) if yes]
 
 
-def _term_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """text, toxic -> term, toxic, place: each term of a document once, with a hash of the words around its first place."""
+def _term_rows(batches: Iterator[pa.RecordBatch], most: int = HELD) -> Iterator[pa.RecordBatch]:
+    """text, toxic -> term, toxic, place: each term of a document once, with a hash of the words around its first place. A
+    neighbourhood that stands in several documents goes out once for every ``most`` rows or so."""
     import xxhash
 
+    def listed(found: dict[tuple[str, int, int], None]) -> pa.RecordBatch:
+        terms, toxics, places = zip(*found, strict=True) if found else ((), (), ())
+        return pa.RecordBatch.from_arrays([pa.array(terms, pa.string()), pa.array(toxics, pa.int32()), pa.array(places, pa.int64())], names=["term", "toxic", "place"])
+
     for batch in batches:
         found: dict[tuple[str, int, int], None] = {}
-        for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            words = (text or "").lower().split()
+        for text, toxic in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
+            words = (text.as_py() or "").lower().split()
             first: dict[str, int] = {}
             for i, token in enumerate(words):
                 first.setdefault(token, i)
@@ -121,9 +128,11 @@ def _term_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for term, (c, i) in counts.items():
                 place = xxhash.xxh32_intdigest(" ".join(words[max(0, i - 1) : i + 2]))
                 for t in (term, "d" + term) if _is_dense(c, len(words)) else (term,):
-                    found[t, toxic, place] = None  # copies in a batch send a neighbourhood once
-        terms, toxics, places = zip(*found, strict=True) if found else ((), (), ())
-        yield pa.RecordBatch.from_arrays([pa.array(terms, pa.string()), pa.array(toxics, pa.int32()), pa.array(places, pa.int64())], names=["term", "toxic", "place"])
+                    found[t, toxic, place] = None
+            if len(found) >= most:
+                yield listed(found)
+                found = {}
+        yield listed(found)
 
 
 def label_model(votes: np.ndarray, rounds: int = 50) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -193,6 +193,18 @@ def test_label_model_finds_accuracies():
     assert corr[0, 4] > 0.9 and accuracy[0] > accuracy[3]
 
 
+def test_term_rows_go_out_in_parts():
+    import pyarrow as pa
+
+    texts = [f"Some text, number {i % 7} of some more words than that" for i in range(40)] + [None, ""]
+    batch = pa.RecordBatch.from_pydict({"text": texts, "toxic": [i % 2 for i in range(len(texts))]})
+    whole = list(toxicity._term_rows(iter([batch])))
+    parts = list(toxicity._term_rows(iter([batch]), most=10))
+    assert len(whole) == 1 and len(parts) > 20 and all(p.num_rows < 80 for p in parts)
+    rows = [{tuple(r.values()) for p in some for r in p.to_pylist()} for some in (whole, parts)]
+    assert rows[0] == rows[1] and len(rows[0]) == whole[0].num_rows
+
+
 def test_top_word_is_the_most_frequent_one_in_any_order():
     from tabwright.llm.quality_ranking import FEATURES, features
 
