@@ -8,6 +8,9 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Labelled ids go to all executors only up to this number (some 30 bytes each); beyond it the texts are shuffled.
+BROADCAST_IDS = 500_000
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the driver's tables, read by Spark alone."""
@@ -58,10 +61,11 @@ def crc_fold(doc_id: Column, folds: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % folds
 
 
-def labelled_texts(documents: DataFrame, labels: DataFrame, label: str, most: int) -> DataFrame:
-    """documents(doc_id, text), labels(doc_id, ``label``) -> text, ``label`` of at most ``most`` labelled ids, those with the
-    smallest hashes. An id with several texts gives the one with the least crc32, one with several labels the highest."""
+def labelled_texts(documents: DataFrame, labels: DataFrame, label: str, most: int | None = None) -> DataFrame:
+    """documents(doc_id, text), labels(doc_id, ``label``) -> text, ``label`` of all labelled ids, or of at most ``most``, those
+    with the smallest hashes. An id with several texts gives the one with the least crc32, one with several labels the highest."""
     chosen = labels.where(F.col(label).isNotNull()).groupBy("doc_id").agg(F.max(label).cast("int").alias(label))
-    chosen = chosen.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
-    met = documents.select("doc_id", text_or_empty().alias("text")).join(F.broadcast(chosen), "doc_id")  # at most ``most`` ids
+    chosen = cut(chosen) if most is None else chosen.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
+    few = most is not None or chosen.count() <= BROADCAST_IDS
+    met = documents.select("doc_id", text_or_empty().alias("text")).join(F.broadcast(chosen) if few else chosen, "doc_id")
     return met.groupBy("doc_id", label).agg(F.min(F.struct(F.crc32(F.col("text").cast("binary")), "text")).alias("first")).select("first.text", label)

@@ -222,6 +222,40 @@ def test_labelled_texts_are_bounded_by_ids(spark):
     assert got == [("", 0), (min(("copy %d" % i for i in range(3)), key=lambda t: zlib.crc32(t.encode())), 1)]
 
 
+def test_quality_learns_from_all_labelled_ids(spark):
+    from pyspark.sql import functions as F
+
+    # The 2,000 bad texts are those whose ids have the largest hashes, behind 20,000 good ones.
+    ids = [r[0] for r in spark.range(22_000).orderBy(F.xxhash64("id"), "id").collect()]
+    documents = spark.createDataFrame([(i, "JUNK!! JUNK!! %d" % i if at >= 20_000 else "plain words of a text, no %d" % i) for at, i in enumerate(ids)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(at < 20_000)) for at, i in enumerate(ids)], "doc_id long, quality int")
+    got = {r.doc_id: r.score for r in quality_ranking.score(documents, quality_ranking.fit(documents, labels)).collect()}
+    assert len(got) == 22_000 and all((got[i] >= 0.3) == (at < 20_000) for at, i in enumerate(ids))
+
+
+def test_quality_fits_all_pairs(spark):
+    documents, labels = corpus(spark, False)
+    labels = labels.where("doc_id % 2 = 1 and doc_id < 800")
+    model = quality_ranking.fit(documents, labels)
+    got = sorted(documents.join(labels, "doc_id").collect(), key=lambda r: zlib.crc32(r.text.encode()), reverse=True)
+    got = list({r.doc_id: r for r in got}.values())  # an id's text with the least crc32
+    x, y = np.array([quality_ranking.features(r.text) for r in got]), np.array([r.quality for r in got])
+    assert len(y) == 400 and np.allclose(model.centre, x.mean(0), atol=1e-5) and np.allclose(model.scale, np.maximum(x.std(0), 1e-6), atol=1e-4)
+    z = np.clip((x - model.centre) / model.scale, -20, 20)
+    gap = z[y == 1][:, None] - z[y == 0][None]  # every pair
+    slope = -(gap / (1 + np.exp(gap @ model.weights))[..., None]).mean((0, 1)) + 1e-4 * model.weights
+    assert np.abs(slope).max() < 1.2e-4
+    worth = (x - model.centre) / model.scale @ model.weights
+    assert np.isclose(model.threshold, np.quantile(worth, (y == 0).mean())) and np.isclose(model.slope, 2 / (np.median(worth[y == 1]) - model.threshold))
+
+
+def test_values_at_ranks_are_exact(spark):
+    values = sorted([1e-9 * i for i in range(300)] + [5.0] * 40 + [-3.25, 1e6, 5.000000001])
+    frame = spark.createDataFrame([(v,) for v in values], "v double")
+    assert [quality_ranking.value_at(frame, "v", i) for i in (0, 1, 150, 299, 300, 301, 341, 342)] == [values[i] for i in (0, 1, 150, 299, 300, 301, 341, 342)]
+    assert np.isclose(quality_ranking.quantile(frame, "v", len(values), 0.8775), np.quantile(values, 0.8775), rtol=1e-12)
+
+
 def test_classifiers_with_long_texts_and_clashing_columns(spark):
     documents, labels = corpus(spark, True)
     documents = documents.selectExpr("*", "1 as label", "'x' as score", "2 as toxic", "3 as quality", "'t' as term").union(documents.limit(1).selectExpr("77777L", "repeat('word vilest ', 60000)", "lang", "source", "n_chars", "1", "'x'", "2", "3", "'t'"))
