@@ -217,11 +217,12 @@ def fit(documents: DataFrame, labels: DataFrame, max_labelled: int = 20_000, min
 
 def score(documents: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",), name: str = "score") -> DataFrame:
     """documents(doc_id, text, ..) -> the columns ``keep`` and ``name``. Other columns of the table aren't read."""
-    chosen = documents.select(*keep, F.col("text").alias("__text"))
+    at = keep.index("text") if "text" in keep else len(keep)  # texts go to Python once
+    chosen = documents.select(*keep, *([F.col("text").alias("__text")] if at == len(keep) else []))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [t or "" for t in batch.column(len(keep)).to_pylist()]
+            texts = [t or "" for t in batch.column(at).to_pylist()]
             scores = [model.score(h) for h in term_hits(texts, model.terms)]
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], pa.array(scores, pa.float64())], names=[*keep, name])
 

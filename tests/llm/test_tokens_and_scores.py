@@ -205,6 +205,17 @@ def test_term_rows_go_out_in_parts():
     assert rows[0] == rows[1] and len(rows[0]) == whole[0].num_rows
 
 
+def test_texts_that_are_kept_go_to_python_once(spark):
+    documents, labels = corpus(spark, True)
+    model = toxicity.fit(documents, labels)
+    got = toxicity.score(documents, model, ("lang", "text", "doc_id"), "toxicity")
+    assert got.columns == ["lang", "text", "doc_id", "toxicity"]
+    assert "__text" not in got._jdf.queryExecution().analyzed().toString()
+    want = toxicity.score(documents, model).join(documents.select("doc_id").where("doc_id <> 3"), "doc_id").collect()
+    assert {(r.doc_id, r.toxicity) for r in got.where("doc_id <> 3").collect()} == {(r.doc_id, r.score) for r in want} and len(want) == 801
+    assert sorted((r.doc_id, r.text or "") for r in got.collect()) == sorted((r.doc_id, r.text or "") for r in documents.collect())
+
+
 def test_top_word_is_the_most_frequent_one_in_any_order():
     from tabwright.llm.quality_ranking import FEATURES, features
 
