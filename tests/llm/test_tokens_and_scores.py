@@ -233,6 +233,15 @@ def test_labelled_texts_are_bounded_by_ids(spark):
     assert got == [("", 0), (min(("copy %d" % i for i in range(3)), key=lambda t: zlib.crc32(t.encode())), 1)]
 
 
+def test_labelled_texts_beyond_a_broadcast(spark, monkeypatch):
+    from tabwright.llm import common
+
+    documents, labels = corpus(spark, False)
+    want = sorted(tuple(r) for r in common.labelled_texts(documents, labels, "quality").collect())
+    monkeypatch.setattr(common, "BROADCAST_IDS", 10)
+    assert sorted(tuple(r) for r in common.labelled_texts(documents, labels, "quality").collect()) == want and len(want) == 800
+
+
 def test_quality_learns_from_all_labelled_ids(spark):
     from pyspark.sql import functions as F
 
