@@ -7,9 +7,10 @@ written in ascending id order with the number of ids before each document, and M
 recipes up to one root for each part, and over the parts up to one root for the store, make the manifest. Reading checks
 all of it: chunks against their addresses, recipes against their roots, the recipes' order against the manifest.
 
-Layout under a folder: ``objects/kind=0`` chunks (address, payload of little-endian ids), ``objects/kind=1``
-recipes as they were made, ``recipes`` the same in order (part, doc_id, slot, start, n_tokens, addresses,
-lengths, root), ``manifest`` (part, level, node, root; part -1 stands over the parts).
+Layout under a folder: ``objects`` chunks (kind 0: address, payload of little-endian ids), then recipes as they were
+made (kind 1), one file for each task; ``recipes`` the same in order (part, doc_id, slot, start, n_tokens, addresses,
+lengths, root), ``manifest`` (part, level, node, root; part -1 stands over the parts). Reading also checks the checksums
+of Parquet's pages, on every file system; the local one keeps no .crc files beside them.
 
 Defined results: a null or empty text holds the end id alone; null ids come first; repeated rows have a recipe
 each, and a range of the order may end between rows of one id; an empty table makes an empty store. Files that don't fit
@@ -41,6 +42,10 @@ WINDOW, MIN, AVERAGE, MAX = 8, 64, 512, 4096
 SEEN = 200_000
 ADDRESS = 16
 OBJECTS = "kind int, key binary, doc_id long, width int, payload binary, addresses array<binary>, lengths array<int>, root binary"
+#: Hadoop's local file system makes a .crc file with each file, and starts a process (chmod) for either, which while it starts
+#: counts with all of the executor's memory. Files of the raw one are single; page checksums stand in for the .crc files.
+FILES = {"compression": "zstd", "parquet.page.write-checksum.enabled": "true", "fs.file.impl": "org.apache.hadoop.fs.RawLocalFileSystem", "fs.file.impl.disable.cache": "true"}
+CHECKED = {"parquet.page.verify-checksum.enabled": "true"}
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _POWERS: list[np.ndarray] = []
 
@@ -154,6 +159,15 @@ def _objects(spec, end_id: int):
     return run
 
 
+def _write(frame: DataFrame, path: str, **options: str) -> None:
+    frame.write.options(**FILES, **options).parquet(path)
+
+
+def _read(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
+    reader = spark.read.options(**CHECKED)
+    return (reader.schema(schema) if schema else reader).parquet(path)
+
+
 def write_store(documents: DataFrame, folder: str, vocabulary: str, end_id: int = 0) -> None:
     """documents(doc_id, text) -> a store in ``folder``. vocabulary: a file of the tokenizers library, on the driver."""
     spark = documents.sparkSession
@@ -163,28 +177,28 @@ def write_store(documents: DataFrame, folder: str, vocabulary: str, end_id: int
     # Chunks meet by address and the first stays; recipes have keys of their own. Tasks have left out what they have
     # sent before, so a second pass over their rows ahead of the shuffle, as dropDuplicates makes, would find little.
     first = F.lag("key").over(Window.partitionBy("kind", "key").orderBy("key")).isNull()
-    made.withColumn("first", first).where("first").drop("first").write.partitionBy("kind").option("compression", "zstd").option("parquet.compression.codec.zstd.level", "1").parquet(f"{folder}/objects")
-    recipes = spark.read.schema(OBJECTS).parquet(f"{folder}/objects").where("kind = 1")
+    _write(made.withColumn("first", first).where("first").drop("first"), f"{folder}/objects", **{"parquet.compression.codec.zstd.level": "1"})
+    recipes = _read(spark, f"{folder}/objects", OBJECTS).where("kind = 1")
     n_tokens = F.aggregate("lengths", F.lit(0).cast("long"), lambda s, n: s + n)
     order = ["doc_id", "n_tokens", "root", "key"]
     recipes = recipes.select("doc_id", n_tokens.alias("n_tokens"), "key", "addresses", "lengths", "root")
     ordered = recipes.repartitionByRange(*order).sortWithinPartitions(*order)
-    ordered.withColumn("part", F.spark_partition_id()).write.option("compression", "zstd").parquet(f"{folder}/unnumbered")
-    parts = spark.read.parquet(f"{folder}/unnumbered")
+    _write(ordered.withColumn("part", F.spark_partition_id()), f"{folder}/unnumbered")
+    parts = _read(spark, f"{folder}/unnumbered")
     sums = parts.groupBy("part").agg(F.sum("n_tokens").alias("ids"))
     before = F.coalesce(F.sum("ids").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     within = Window.partitionBy("part").orderBy(*order)
     started = parts.join(F.broadcast(sums.select("part", before.alias("before"))), "part")  # one row for each part
     start = F.col("before") + F.coalesce(F.sum("n_tokens").over(within.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     numbered = started.select("part", (F.row_number().over(within) - 1).alias("slot"), "doc_id", start.alias("start"), "n_tokens", "addresses", "lengths", "root")
-    numbered.write.option("compression", "zstd").parquet(f"{folder}/recipes")
-    manifest(spark, folder).write.parquet(f"{folder}/manifest")
+    _write(numbered, f"{folder}/recipes")
+    _write(manifest(spark, folder), f"{folder}/manifest")
 
 
 def manifest(spark: SparkSession, folder: str, fan: int = 256) -> DataFrame:
     """part, level, node, root: Merkle nodes over runs of ``fan`` recipes, level by level up to one root for each part, then
     over runs of parts (as part -1) up to one root for the store."""
-    recipes = spark.read.parquet(f"{folder}/recipes")
+    recipes = _read(spark, f"{folder}/recipes")
     last = recipes.agg(F.coalesce(F.max("slot"), F.lit(0)).cast("long").alias("slot"), F.coalesce(F.max("part"), F.lit(0)).cast("long").alias("part")).first()
     levels: list[DataFrame] = []
 
@@ -206,14 +220,14 @@ def manifest(spark: SparkSession, folder: str, fan: int = 256) -> DataFrame:
 
 def check_manifest(spark: SparkSession, folder: str) -> None:
     """Raises unless the manifest is that of the recipes in their order."""
-    stored, made = spark.read.parquet(f"{folder}/manifest"), manifest(spark, folder)
+    stored, made = _read(spark, f"{folder}/manifest"), manifest(spark, folder)
     if not stored.exceptAll(made).unionByName(made.exceptAll(stored)).isEmpty():
         raise ValueError(f"the recipes in {folder} aren't those of its manifest")
 
 
 def chunks(spark: SparkSession, folder: str) -> DataFrame:
     """address, width, payload of every stored chunk."""
-    return spark.read.schema(OBJECTS).parquet(f"{folder}/objects").where("kind = 0").select(F.col("key").alias("address"), "width", "payload")
+    return _read(spark, f"{folder}/objects", OBJECTS).where("kind = 0").select(F.col("key").alias("address"), "width", "payload")
 
 
 def _checked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -298,7 +312,7 @@ def read_index(spark: SparkSession, folder: str) -> DataFrame:
     """From the files alone: doc_id, start, n_tokens, ids_crc32, root of every document. Raises, now or when it is computed, if
     manifest, recipes and chunks don't fit each other."""
     check_manifest(spark, folder)
-    recipes = spark.read.parquet(f"{folder}/recipes")
+    recipes = _read(spark, f"{folder}/recipes")
     parts = recipes.select("start", "n_tokens", "addresses", "lengths", "root").mapInArrow(_checked_recipes, "start long, address binary, after long")
     stored = chunks(spark, folder).mapInArrow(_checked, "address binary, crc long")
     crc = parts.join(stored, "address").groupBy("start").agg(F.bit_xor(_crc_part("crc", "after")).alias("ids_crc32"), F.count(F.lit(1)).alias("found"))
@@ -309,7 +323,7 @@ def read_index(spark: SparkSession, folder: str) -> DataFrame:
 
 def read_documents(spark: SparkSession, folder: str) -> DataFrame:
     """doc_id, start, ids: whole documents rebuilt from recipes and chunks."""
-    recipes = spark.read.parquet(f"{folder}/recipes")
+    recipes = _read(spark, f"{folder}/recipes")
     parts = recipes.select("doc_id", "start", F.posexplode("addresses").alias("at", "address"))
     met = parts.join(chunks(spark, folder), "address")
     ordered = F.array_sort(F.collect_list(F.struct("at", "width", "payload")))

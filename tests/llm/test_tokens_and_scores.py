@@ -124,6 +124,39 @@ def test_damaged_stores_raise(spark, tmp_path, damage):
         token_store.read_index(spark, folder).collect()
 
 
+def test_store_has_one_file_a_task(spark, tmp_path):
+    from pathlib import Path
+
+    folder = tmp_path / "store"
+    token_store.write_store(spark.createDataFrame([(i, "some text %d" % i * 40, None, None, 1) for i in range(200)], DOCS).repartition(3), str(folder), PATH)
+    files = [p for p in Path(folder).rglob("*") if p.is_file() and p.name != "_SUCCESS"]
+    assert [p.name for p in files if p.suffix != ".parquet"] == []
+    assert len([p for p in files if p.is_relative_to(folder / "objects")]) <= int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert token_store.read_index(spark, str(folder)).count() == 200
+
+
+def test_a_changed_byte_of_an_id_raises(spark, tmp_path):
+    """Nothing but the pages' checksums stands for the ids: chunks, recipes' roots and their order are as they were."""
+    import shutil
+
+    import pyarrow.parquet as pq
+
+    folder = str(tmp_path / "store")
+    token_store.write_store(spark.createDataFrame([(10 * i, "text %d" % i, None, None, 1) for i in range(50)], DOCS), folder, PATH)
+    token_store._read(spark, f"{folder}/recipes").coalesce(1).write.options(**token_store.FILES | {"compression": "none", "parquet.enable.dictionary": "false"}).parquet(f"{folder}/plain")
+    shutil.rmtree(f"{folder}/recipes")
+    shutil.move(f"{folder}/plain", f"{folder}/recipes")
+    assert sorted(r.doc_id for r in token_store.read_index(spark, folder).collect()) == [10 * i for i in range(50)]
+    (path,) = (tmp_path / "store" / "recipes").glob("*.parquet")
+    group = pq.ParquetFile(path).metadata.row_group(0)
+    column = next(group.column(i) for i in range(group.num_columns) if group.column(i).path_in_schema == "doc_id")
+    raw = bytearray(path.read_bytes())
+    raw[column.data_page_offset + column.total_compressed_size - 8] ^= 1  # the last id
+    path.write_bytes(raw)
+    with pytest.raises(Exception, match="verify page integrity"):
+        token_store.read_index(spark, folder).collect()
+
+
 def test_store_with_clashing_columns_and_one_id(spark, library, tmp_path):
     rows = [(7, "text %d" % i, i, "s", "m") for i in range(400)]
     frame = spark.createDataFrame(rows, "doc_id long, text string, start int, root string, key string").repartition(5)
